@@ -35,11 +35,14 @@ def tree_rows(file: str, tree_no: int, root: dict) -> list[list]:
         node, parent, parent_type, depth, ordinal = stack.pop()
         me = len(rows)
         children = node.get("children") or []
-        node_type = node.get("nodeType", "")
+        node_type, text = node.get("nodeType", ""), node.get("text", "")
+        start, stop = node.get("startIndex", -1), node.get("stopIndex", -1)
+        if not (isinstance(node_type, str) and isinstance(text, str)
+                and type(start) is type(stop) is int and max(abs(start), abs(stop)) < 1 << 31):
+            raise TypeError(f"node {me} of tree {tree_no} has a field of another type")
         rows.append([
             file, tree_no, me, parent, me, depth, ordinal, len(children), 0, parent_type,
-            node_type, node.get("text", ""), node.get("startIndex", -1), node.get("stopIndex", -1),
-            None,
+            node_type, text, start, stop, None,
         ])
         for i in range(len(children) - 1, -1, -1):
             stack.append((children[i], me, node_type, depth + 1, i))
@@ -70,7 +73,6 @@ def node_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     for number, root in enumerate(tree_roots(json.loads(payloads[i].as_py())))
                     for row in tree_rows(file, number, root)
                 ]
-                _batch(found[:1])
                 rows.extend(found)
             except Exception as problem:  # noqa: BLE001 - any bad document is reported, not fatal
                 rows.append([file] + [None] * (len(_ARROW) - 2) + [

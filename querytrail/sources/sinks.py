@@ -13,6 +13,13 @@ INVALID_HEAD = "--- INVALID QUERY ---"
 INVALID_RULE = "+ - " * 50
 
 
+# Cells are written as they are: Spark would strip blanks at their ends.
+DELIMITED = {
+    "header": True, "escape": '"', "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def append_extracts(extract: DataFrame, folder: str, file_format: str = "parquet") -> None:
     """One sub-folder per statement type, appended."""
     writer = (
@@ -20,13 +27,13 @@ def append_extracts(extract: DataFrame, folder: str, file_format: str = "parquet
         .write.mode("append").partitionBy("statement_type")
     )
     if file_format == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.options(**DELIMITED)
     writer.format(file_format).save(folder)
 
 
 def write_table(df: DataFrame, folder: str) -> None:
     """Delimited text with header; an empty result still leaves a file with the header."""
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(folder)
+    df.write.mode("overwrite").options(**DELIMITED).csv(folder)
 
 
 def invalid_statements(checked: DataFrame) -> DataFrame:
@@ -62,7 +69,7 @@ def error_list(checked: DataFrame) -> DataFrame:
 
 
 def append_error_list(checked: DataFrame, folder: str) -> None:
-    error_list(checked).write.mode("append").option("header", True).csv(folder)
+    error_list(checked).write.mode("append").options(**DELIMITED).csv(folder)
 
 
 def run_metrics(results: DataFrame) -> DataFrame:
@@ -70,7 +77,7 @@ def run_metrics(results: DataFrame) -> DataFrame:
 
 
 def write_run_metrics(results: DataFrame, folder: str) -> None:
-    run_metrics(results).write.mode("overwrite").option("header", True).csv(folder)
+    run_metrics(results).write.mode("overwrite").options(**DELIMITED).csv(folder)
 
 
 def failure_report(files: DataFrame, statements: DataFrame) -> DataFrame:
