@@ -6,7 +6,7 @@ import importlib
 
 from querytrail.plans import registry
 
-_MODULES = ["log_queries", "mapping_queries", "script_queries"]
+_MODULES = ["log_queries", "mapping_queries", "script_queries", "tree_queries", "stream_queries"]
 
 
 def _load() -> None:

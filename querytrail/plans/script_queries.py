@@ -171,22 +171,19 @@ def failure_report(t):
 
 
 @query("sc2_script_scan", """
-SELECT file, CAST(length(string_agg(part, ';' ORDER BY stmt_no)) AS INT) AS n, count(*) AS parts
-FROM (SELECT concat('lot', CAST(l_orderkey % 64 AS VARCHAR), '.txt') AS file, part,
-  l_orderkey * 100 + stmt_no AS stmt_no FROM {v_parts}) p GROUP BY 1""")
+SELECT true AS is_txt, CAST(length(string_agg(part, ';' ORDER BY at)) + 1 AS INT) AS n, count(*) AS parts
+FROM (SELECT l_orderkey // 100 AS lot, part, l_orderkey * 100 + stmt_no AS at FROM {v_parts}) p GROUP BY lot""")
 def script_scan(t):
-    # 64 script files, each with the statements of many orders.
-    lot = F.concat(F.lit("lot"), (F.col("l_orderkey") % 64).cast("string"))
+    # Script files with the statements of 100 orders each, so files grow in number, not in size.
     ordered = F.sort_array(F.collect_list(F.struct("l_orderkey", "stmt_no", "part")))
-    files = t["v_parts"].groupBy(lot.alias("lot")).agg(ordered.alias("p"))
+    files = t["v_parts"].groupBy(F.floor(F.col("l_orderkey") / 100).alias("lot")).agg(
+        ordered.alias("p"))
     folder = work_folder(t.spark, "scripts")
-    files.select("lot", F.array_join(F.col("p.part"), ";").alias("value")).write.option(
-        "lineSep", "\u0001").partitionBy("lot").text(folder)
-    read = t.spark.read.option("wholetext", True).text(folder)
-    script = F.rtrim(F.lit("\u0001"), F.col("value"))
-    return read.select(
-        F.concat("lot", F.lit(".txt")).alias("file"), F.length(script).alias("n"),
-        F.size(F.split(script, ";")).cast("long").alias("parts"))
+    files.select("lot", F.array_join(F.col("p.part"), ";").alias("value")).write.partitionBy(
+        "lot").text(folder)
+    return texts.read_scripts(t.spark, f"{folder}/*").select(
+        F.col("file").endswith(".txt").alias("is_txt"), F.length("script").alias("n"),
+        F.size(F.split("script", ";")).cast("long").alias("parts"))
 
 
 def _keyword_check(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
