@@ -212,5 +212,5 @@ def combine_trees(nodes: DataFrame, lengths: DataFrame, bits: int = BITS) -> Dat
 def visit_with(
     nodes: DataFrame, visitor: Callable, schema: T.StructType | str
 ) -> DataFrame:
-    """A caller's function over the rows of one tree at a time (pandas in, pandas out)."""
-    return nodes.groupBy(*TREE).applyInPandas(visitor, schema)
+    """A caller's function over the rows of one tree at a time (Arrow table in, Arrow table out)."""
+    return nodes.groupBy(*TREE).applyInArrow(visitor, schema)

@@ -171,8 +171,8 @@ def failure_report(t):
 
 
 @query("sc2_script_scan", """
-SELECT true AS is_txt, CAST(length(string_agg(part, ';' ORDER BY at)) + 1 AS INT) AS n, count(*) AS parts
-FROM (SELECT l_orderkey // 100 AS lot, part, l_orderkey * 100 + stmt_no AS at FROM {v_parts}) p GROUP BY lot""")
+SELECT true AS is_txt, CAST(length(string_agg(part, ';' ORDER BY seq)) + 1 AS INT) AS n, count(*) AS parts
+FROM (SELECT l_orderkey // 100 AS lot, part, l_orderkey * 100 + stmt_no AS seq FROM {v_parts}) p GROUP BY lot""")
 def script_scan(t):
     # Script files with the statements of 100 orders each, so files grow in number, not in size.
     ordered = F.sort_array(F.collect_list(F.struct("l_orderkey", "stmt_no", "part")))

@@ -53,18 +53,15 @@ def ingest(t: Tables):
 
 
 def _drop_files(t: Tables, folder: str) -> None:
-    """One JSON file per conversation: its turns as a list."""
-    turn = F.to_json(F.struct("turn", "role", "text"))
-    lists = t["conversations"].groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(F.struct("turn", turn.alias("j")))).alias("l"))
-    body = F.concat(F.lit("["), F.array_join("l.j", ","), F.lit("]"))
-    # A text column named `value`, one sub-folder per conversation, file names ending in .json.
-    lists.select("conv_id", body.alias("value")).write.partitionBy("conv_id").option(
-        "compression", "none").text(folder)
+    """One JSON file per conversation, with its turns as the list `data`."""
+    turn = F.struct("turn", "role", "text")
+    t["conversations"].groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(turn)).alias("data")
+    ).write.partitionBy("conv_id").json(folder)
 
 
 @query("st1_landing_folder_stream", """
-SELECT sum(n) AS records, count(*) AS files FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM {conversations} GROUP BY conv_id) c""")
+SELECT CAST(sum(n) AS BIGINT) AS records, count(*) AS files FROM (SELECT CAST(count(*) AS BIGINT) AS n FROM {conversations} GROUP BY conv_id) c""")
 def landing_folder_stream(t):
     folder = work_folder(t.spark, "landing")
     _drop_files(t, f"{folder}/in")

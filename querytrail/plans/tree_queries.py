@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from querytrail.functions import text as tx
@@ -182,11 +183,11 @@ def tree_export(t):
         F.col("file").alias("file_name")).agg(F.count("*").alias("nodes"))
 
 
-def _count_leaves(frame: pd.DataFrame) -> pd.DataFrame:
-    leaves = frame["child_count"] == 0
-    return pd.DataFrame({
-        "file": [frame["file"].iloc[0]], "tree_no": [frame["tree_no"].iloc[0]],
-        "leaves": [int(leaves.sum())], "deepest": [int(frame["depth"].max())]})
+def _count_leaves(tree: pa.Table) -> pa.Table:
+    return pa.table({
+        "file": tree["file"][:1], "tree_no": tree["tree_no"][:1],
+        "leaves": [pc.sum(pc.equal(tree["child_count"], 0)).as_py()],
+        "deepest": [pc.max(tree["depth"]).as_py()]})
 
 
 @query("ud2_caller_tree_visitor", """

@@ -13,7 +13,7 @@ DEEP_JSON = {"maxNestingDepth": "1000000", "maxStringLen": "2000000000"}
 
 def read_whole_files(spark: SparkSession, folder: str, glob: str, out: str) -> DataFrame:
     return (
-        spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(folder)
+        spark.read.text(folder, wholetext=True, pathGlobFilter=glob)
         .select(F.col("_metadata.file_name").alias("file"), F.col("value").alias(out))
     )
 

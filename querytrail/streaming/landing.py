@@ -14,6 +14,9 @@ from querytrail.functions.documents import SHAPE, extractor, shapes
 from querytrail.functions.text import is_blank
 
 
+ACCEPTED, REJECTED = "accepted", "rejected"
+
+
 def landing_stream(spark: SparkSession, folder: str, files_per_trigger: int = 10_000) -> DataFrame:
     """New *.json files of a folder, each read once: (file, payload).
 
@@ -54,13 +57,14 @@ def quarantined(records: DataFrame) -> DataFrame:
 def start_ingest(
     documents: DataFrame, target: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Write extraction records to a table split by `valid`; exactly once by the sink's log.
+    """Write extraction records to a table split by outcome; exactly once by the sink's log.
 
-    Bad documents go to the valid=false part and never stop the stream.
+    Bad documents go to the `rejected` part and never stop the stream.
     """
+    outcome = F.when(F.col("valid"), ACCEPTED).otherwise(REJECTED)
     writer = (
-        extraction_records(documents).writeStream.format("parquet").outputMode("append")
-        .partitionBy("valid").option("checkpointLocation", checkpoint).option("path", target)
+        extraction_records(documents).withColumn("outcome", outcome)
+        .writeStream.format("parquet").outputMode("append").partitionBy("outcome").option("checkpointLocation", checkpoint).option("path", target)
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
