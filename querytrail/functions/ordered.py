@@ -73,11 +73,12 @@ def look_around(
     def home(number: Column, own: bool) -> Column:
         return F.struct(number.alias("no"), F.lit(own).alias("own"))
 
-    homes = F.array_compact(F.array(
-        home(no, True),
-        F.when(inside < ahead, home(no - 1, False)),
-        F.when(inside >= width - behind, home(no + 1, False)),
-    ))
+    own, before, after = home(no, True), home(no - 1, False), home(no + 1, False)
+    low, high = inside < ahead, inside >= width - behind
+    homes = (
+        F.when(low & high, F.array(own, before, after)).when(low, F.array(own, before))
+        .when(high, F.array(own, after)).otherwise(F.array(own))
+    )
     window = Window.partitionBy(*keys, "_home.no").orderBy(pos)
     added = {
         name: (F.lead(value, o) if o >= 0 else F.lag(value, -o)).over(window)
@@ -92,18 +93,27 @@ def odd_of_runs(df: DataFrame, keys: list[str], pos: str, bits: int = BITS) -> D
     """Keep the 1st, 3rd, 5th ... row of each run of consecutive positions.
 
     This is the left-to-right choice of non-overlapping pairs when row `pos` uses up `pos + 1`.
+    A bucket also receives the last position of the bucket before it, to see whether a run goes on.
     """
-    numbered = number_rows(df, keys, pos, "_seq", bits)
-    seen = look_around(numbered, keys, "_seq", {-1: [("_prev", F.col(pos))]}, bits)
-    new_run = F.col("_prev").isNull() | (F.col("_prev") < F.col(pos) - 1)
-    cut = _cut(seen.withColumn("_start", F.when(new_run, F.col(pos))), keys, "_seq", bits)
-    carried = _per_bucket(cut, F.max("_start")).select(
+    at = F.col(pos)
+    last_of_bucket = at.cast("long").bitwiseAND(F.lit((1 << bits) - 1)) == (1 << bits) - 1
+    here = F.struct(F.struct(*keys).alias("keys"), _bucket(pos, bits).alias("no"))
+    following = F.struct(F.struct(*keys).alias("keys"), (_bucket(pos, bits) + 1).alias("no"))
+    homes = F.when(last_of_bucket, F.array(here, following)).otherwise(F.array(here))
+    window = Window.partitionBy("_group").orderBy(pos)
+    previous = F.lag(pos).over(window)
+    own = F.col("_group.no") == _bucket(pos, bits)
+    begins = previous.isNull() | (previous < at - 1)
+    up_to_here = window.rowsBetween(Window.unboundedPreceding, 0)
+    rows = (
+        df.withColumn("_group", F.explode(homes))
+        .withColumn("_start", F.when(begins & own, at))
+        .withColumn("_local", F.max("_start").over(up_to_here)).filter(own)
+    )
+    carried = _per_bucket(rows, F.max("_start")).select(
         "_right", F.max("_total").over(_earlier_buckets()).alias("_carried"))
-    inside = Window.partitionBy("_group").orderBy("_seq").rowsBetween(Window.unboundedPreceding, 0)
-    run_start = F.greatest("_local", "_carried")
+    run_start = F.coalesce("_local", "_carried")
     return (
-        cut.withColumn("_local", F.max("_start").over(inside))
-        .join(carried, F.col("_group") == F.col("_right"))
-        .filter((F.col(pos) - run_start) % 2 == 0)
-        .select(*df.columns)
+        rows.join(carried, F.col("_group") == F.col("_right"))
+        .filter((at - run_start) % 2 == 0).select(*df.columns)
     )

@@ -22,6 +22,19 @@ def join_logs(objects: DataFrame, users: DataFrame, texts: DataFrame) -> DataFra
     return objects.join(users, QUERY_KEY).join(texts, QUERY_KEY)
 
 
+def join_distinct(objects: DataFrame, users: DataFrame, texts: DataFrame) -> DataFrame:
+    """The join for results that are made distinct afterwards.
+
+    Copies are removed in each log first (combined before their shuffle): copies of one query in
+    several logs would otherwise multiply.
+    """
+    def unique(df: DataFrame) -> DataFrame:
+        wanted = [c for c in df.columns if c in EXTRACT_COLUMNS or c == "batch_number"]
+        return df.select(*wanted).distinct()
+
+    return join_logs(unique(objects), unique(users), unique(texts))
+
+
 def log_filter(
     objects: DataFrame, users: DataFrame, texts: DataFrame, db: str, tables: list[str],
     statement: str, start: str, end: str,
@@ -40,7 +53,7 @@ def fetch(
 ) -> DataFrame:
     """Distinct extraction rows of some tables of one database in a date range."""
     logs = log_filter(objects, users, texts, db, tables, statement, start, end)
-    return join_logs(*logs).select(*EXTRACT_COLUMNS).distinct()
+    return join_distinct(*logs).select(*EXTRACT_COLUMNS).distinct()
 
 
 def remaining(work: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -87,7 +100,7 @@ def extract_work_list(
     in_range = F.col("logdate").between(start, end)
     kinds = users.filter(F.trim("StatementType").isin(statements))
     wanted = objects.filter(in_range).join(listed, ["ObjectDatabaseName", "ObjectTableName"])
-    rows = join_logs(wanted, kinds, texts.filter(in_range))
+    rows = join_distinct(wanted, kinds, texts.filter(in_range))
     window = window_of(F.col("logdate"), start, end, days)
     return (
         rows.select(*EXTRACT_COLUMNS, "batch_number").distinct()

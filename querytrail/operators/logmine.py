@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from querytrail.functions.ordered import BITS, odd_of_runs
 from querytrail.functions.text import quoted_list, trim_blank
+from querytrail.session import ensure_checkpoint_dir
 
 # The two log messages. Both arrows occur: the message itself prints the second.
 # Flags: Unicode classes, and \n as the only line end.
@@ -36,7 +37,10 @@ def adjacent_messages(lines: DataFrame) -> DataFrame:
     the order of its lines ever gathers in one task.
     """
     text = trim_blank(F.col("line"))
-    spool, skip = text.rlike(SPOOL), text.rlike(SKIP)
+    # Plain substring tests first: few lines of a log reach the regular expressions.
+    warning = F.col("line").contains("WARNING")
+    spool = warning & F.col("line").contains("Spool") & text.rlike(SPOOL)
+    skip = warning & F.col("line").contains("Skipping") & text.rlike(SKIP)
     roles = F.array_compact(F.array(
         F.when(spool, F.struct(
             F.col("line_no").alias("at"), text.alias("first"), F.lit(None).cast("string").alias("second"))),
@@ -58,9 +62,11 @@ def adjacent_messages(lines: DataFrame) -> DataFrame:
 def classify_pairs(lines: DataFrame, bits: int = BITS) -> DataFrame:
     """Message pairs with their outcome: `processed`, or `problem` (other database, no list).
 
-    A processed pair uses up its second line, so a pair starting there is not looked at.
+    A processed pair uses up its second line, so a pair starting there is not looked at. The pairs
+    are few but used several times, so they are stored: the log itself is read once.
     """
-    pairs = adjacent_messages(lines)
+    ensure_checkpoint_dir(lines.sparkSession)
+    pairs = adjacent_messages(lines).checkpoint()
     usable = (F.col("Database") == F.col("skip_db")) & F.col("tables").isNotNull()
     processed = odd_of_runs(pairs.filter(usable), ["file"], "line_no", bits)
     used = processed.select("file", (F.col("line_no") + 1).alias("line_no"))

@@ -106,8 +106,9 @@ def type_distribution(tokens: DataFrame) -> DataFrame:
     return tokens.groupBy("file", "type_name").agg(F.count("*").alias("tokens"))
 
 
-def sizes(tokens: DataFrame) -> DataFrame:
-    return tokens.groupBy("file").agg(F.count("*").alias("tokens"))
+def sizes(distribution: DataFrame) -> DataFrame:
+    """List length per file, summed up from the distribution."""
+    return distribution.groupBy("file").agg(F.sum("tokens").alias("tokens"))
 
 
 def look_ahead(tokens: DataFrame, offsets: list[int], bits: int = BITS) -> DataFrame:

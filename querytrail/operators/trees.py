@@ -12,6 +12,7 @@ from querytrail.functions import documents as docs
 from querytrail.functions import text as tx
 from querytrail.functions.ordered import BITS, number_rows
 from querytrail.schemas import NODE
+from querytrail.session import work_folder
 
 TREE = ["file", "tree_no"]
 # A rule-name list of a grammar; far below any broadcast limit up to this length.
@@ -171,42 +172,50 @@ def detailed(nodes: DataFrame, tokens: DataFrame, rule_names: list[str]) -> Data
     )
 
 
+def store_nodes(nodes: DataFrame) -> DataFrame:
+    """The node table written to the shared folder, for use by several operators."""
+    folder = work_folder(nodes.sparkSession, "nodes")
+    nodes.write.parquet(folder)
+    return nodes.sparkSession.read.parquet(folder)
+
+
 def combine_trees(nodes: DataFrame, lengths: DataFrame, bits: int = BITS) -> DataFrame:
     """All trees of a file under one synthetic root; `lengths` holds (file, length) of the script.
 
     A node keeps its order as (tree number, node id) in one number, so no running total over the
-    trees of a file is needed; end ids follow the same rule.
+    nodes of a file is needed; end ids follow the same rule. Pass a stored node table: it is read
+    for the roots and for the nodes.
     """
     base = (F.col("tree_no").cast("long") + 1) * F.lit(1 << 32)
-    roots = number_rows(
-        nodes.filter("parent_id is null").select("file", "tree_no"), ["file"], "tree_no", "_place",
-        bits)
-    moved = nodes.join(roots, TREE).select(
-        "file", F.lit(0).alias("tree_no"), (base + F.col("node_id")).alias("node_id"),
+    roots = nodes.filter("parent_id is null").select(
+        "file", "tree_no", (base + F.col("end_id")).alias("_last"))
+    placed = number_rows(roots, ["file"], "tree_no", "_place", bits)
+    per_file = placed.groupBy("file").agg(
+        F.max("_last").alias("_file_end"), F.max("_place").alias("_trees"))
+    places = placed.join(per_file, "file").select("file", "tree_no", "_place", "_file_end")
+    is_root, node_id = F.col("parent_id").isNull(), base + F.col("node_id")
+    moved = nodes.join(places, TREE).select(
+        "file", F.lit(0).alias("tree_no"), node_id.alias("node_id"),
         F.coalesce(base + F.col("parent_id"), F.lit(0)).alias("parent_id"),
         (base + F.col("end_id")).alias("end_id"), (F.col("depth") + 1).alias("depth"),
-        F.when(F.col("parent_id").isNull(), F.col("_place") - 1).otherwise(F.col("ordinal"))
-        .alias("ordinal"),
-        "child_count", "closes", F.coalesce("parent_type", F.lit(COMBINED_TYPE)).alias("parent_type"),
+        F.when(is_root, F.col("_place") - 1).otherwise(F.col("ordinal")).alias("ordinal"),
+        "child_count",
+        # the new root closes after the last node of the last tree
+        (F.col("closes") + (node_id == F.col("_file_end")).cast("int")).alias("closes"),
+        F.coalesce("parent_type", F.lit(COMBINED_TYPE)).alias("parent_type"),
         "node_type", "text", "start", "stop",
     )
-    totals = nodes.filter("parent_id is null").groupBy("file").agg(
-        F.count("*").alias("child_count"),
-        F.max((F.col("tree_no").cast("long") + 1) * F.lit(1 << 32) + F.col("end_id")).alias("end_id"))
-    top = totals.join(lengths, "file").select(
-        "file", F.lit(0).alias("tree_no"), F.lit(0).cast("long").alias("node_id"),
-        F.lit(None).cast("long").alias("parent_id"), "end_id", F.lit(0).alias("depth"),
-        F.lit(0).cast("long").alias("ordinal"), "child_count", F.lit(0).cast("long").alias("closes"),
-        F.lit(None).cast("string").alias("parent_type"), F.lit(COMBINED_TYPE).alias("node_type"),
-        F.lit(COMBINED_TEXT).alias("text"), F.lit(0).alias("start"),
+    none, zero = F.lit(None), F.lit(0)
+    top = per_file.join(lengths, "file").select(
+        "file", zero.alias("tree_no"), zero.cast("long").alias("node_id"),
+        none.cast("long").alias("parent_id"), F.col("_file_end").alias("end_id"),
+        zero.alias("depth"), zero.cast("long").alias("ordinal"),
+        F.col("_trees").alias("child_count"), zero.cast("long").alias("closes"),
+        none.cast("string").alias("parent_type"), F.lit(COMBINED_TYPE).alias("node_type"),
+        F.lit(COMBINED_TEXT).alias("text"), zero.alias("start"),
         F.col("length").cast("int").alias("stop"),
     )
-    # The new root closes after the last node of the last tree.
-    last = totals.select("file", F.col("end_id").alias("_last"))
-    moved = moved.join(last, "file").withColumn(
-        "closes", F.col("closes") + F.when(F.col("node_id") == F.col("_last"), 1).otherwise(0)
-    ).drop("_last")
-    return nodes_of(top.unionByName(moved).withColumn("error", F.lit(None).cast("string")))
+    return nodes_of(top.unionByName(moved).withColumn("error", none.cast("string")))
 
 
 def visit_with(

@@ -168,6 +168,11 @@ class Tables:
         used = {n: self[n] for n in re.findall(r"\{([a-z]\w*)\}", text)}
         return self.spark.sql(text, **used)
 
+    def documents(self) -> DataFrame:
+        """The documents, spread over all cores when they lie in fewer files than that."""
+        df, cores = self["documents"], self.spark.sparkContext.defaultParallelism
+        return df if len(df.inputFiles()) >= cores else df.repartition(cores, "doc_id")
+
     def table_column(self, name: str) -> DataFrame:
         """The stand-in with its `tbl` column under the library's name."""
         return self[name].withColumnRenamed("tbl", "table")
@@ -234,7 +239,7 @@ class Tables:
             (i * 100).alias("startIndex"), (i * 100 + size(w) - 1).alias("stopIndex"),
             (F.floor(i / 10) + 1).alias("line"), (i % 10).alias("column"))
         words = F.transform(F.split("text", " "), token)
-        return self["documents"].select(
+        return self.documents().select(
             F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("file"),
             F.to_json(F.struct(words.alias("tokenStream"))).alias("payload"))
 

@@ -161,17 +161,17 @@ def detailed_flat_form(t):
 
 
 @query("tr12_combined_trees", f"""
-SELECT file, CAST(count(*) AS BIGINT) AS children, CAST(sum(k) + 1 AS BIGINT) AS nodes, CAST(max(n) * 100 AS INT) AS stop,
-  '(unknown ' || string_agg({_LINE}, ' ' ORDER BY n) || ')' AS tree FROM {{v_lines}} WHERE layout = 3 GROUP BY 1""")
+SELECT file, CASE WHEN layout = 3 THEN count(*) ELSE 1 END AS children,
+  CAST(sum(k) + CASE WHEN layout = 3 THEN 1 ELSE 2 END AS BIGINT) AS nodes, CAST(max(n) * 100 AS INT) AS stop,
+  CASE WHEN layout = 3 THEN '(unknown ' ELSE '(unknown (script ' END || string_agg({_LINE}, ' ' ORDER BY n)
+    || CASE WHEN layout = 3 THEN ')' ELSE '))' END AS tree FROM {{v_lines}} GROUP BY file, layout""")
 def combined_trees(t):
-    documents = t.tree_documents().filter(F.col("payload").startswith("["))
-    lengths = t["v_lines"].filter("layout = 3").groupBy("file").agg(
-        (F.max("n") * 100).alias("length"))
-    combined = tr.combine_trees(tr.flatten(documents), lengths)
+    lengths = t["v_lines"].groupBy("file").agg((F.max("n") * 100).alias("length"))
+    combined = tr.store_nodes(tr.combine_trees(tr.store_nodes(nodes(t)), lengths))
+    root = F.col("node_id") == 0
     numbers = combined.groupBy("file").agg(
-        F.max(F.when(F.col("node_id") == 0, F.col("child_count"))).alias("children"),
-        F.count("*").alias("nodes"),
-        F.max(F.when(F.col("node_id") == 0, F.col("stop"))).alias("stop"))
+        F.max(F.when(root, F.col("child_count"))).alias("children"),
+        F.count("*").alias("nodes"), F.max(F.when(root, F.col("stop"))).alias("stop"))
     return tr.tree_strings(combined).join(numbers, "file").drop("tree_no")
 
 
@@ -261,9 +261,8 @@ def token_display_text(t):
 SELECT file, type_name, count(*) AS tokens FROM {c_tokens} GROUP BY 1, 2
 UNION ALL SELECT file, NULL, count(*) FROM {c_tokens} GROUP BY 1""")
 def token_type_distribution(t):
-    all_tokens = tokens(t)
-    return tk.type_distribution(all_tokens).unionByName(
-        tk.sizes(all_tokens), allowMissingColumns=True)
+    distribution = tk.type_distribution(tokens(t))
+    return distribution.unionByName(tk.sizes(distribution), allowMissingColumns=True)
 
 
 @query("wn5_token_look_ahead", """
