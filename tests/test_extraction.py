@@ -1,0 +1,93 @@
+from __future__ import annotations
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from querytrail.operators import extraction as ex
+
+DAY = dt.date(2024, 1, 1)
+TIME = dt.datetime(2024, 1, 1, 5)
+
+
+def logs(spark, objects, users, texts):
+    return (
+        spark.createDataFrame(objects, "ProcID long, QueryID long, logdate date, ObjectDatabaseName string,"
+                              " ObjectTableName string, CollectTimeStamp timestamp_ntz"),
+        spark.createDataFrame(users, "ProcID long, QueryID long, logdate date, SessionID long,"
+                              " StatementType string, Username string"),
+        spark.createDataFrame(texts, "ProcID long, QueryID long, logdate date, SQLTEXTINFO string"),
+    )
+
+
+def day(n):
+    return DAY + dt.timedelta(n)
+
+
+def test_fetch_filters_trims_and_removes_copies(spark, rows):
+    parts = logs(
+        spark,
+        [(1, q, day(q), "d", t, TIME) for q in range(4) for t in ("a", "b", "c")] * 3,
+        [(1, q, day(q), 7, "Insert  " if q != 2 else "Select", "u") for q in range(4)],
+        [(1, q, day(q), "x") for q in range(4)] * 3,
+    )
+    got = rows(ex.fetch(*parts, "d", ["a", "c"], "Insert", "2024-01-01", "2024-01-03")
+               .select("QueryID", "ObjectTableName", "StatementType"))
+    assert got == [(q, t, "Insert  ") for q in (0, 1) for t in ("a", "c")]
+
+
+def test_batches_of_250_tables(spark, rows):
+    work = spark.createDataFrame(
+        [(i, "d", f"t{i}") for i in range(250)] + [(900 - i, "e", f"t{i}") for i in range(3)],
+        "pos long, db string, `table` string")
+    packed = ex.pack_batches(work, "pos")
+    assert rows(packed.select("db", "batch_number", "batch_size")) == [
+        ("d", 1, 100), ("d", 2, 100), ("d", 3, 50), ("e", 1, 3)]
+    by = {(r.db, r.batch_number): r.tables for r in packed.collect()}
+    assert by[("d", 3)] == [f"t{i}" for i in range(200, 250)]
+    assert by[("e", 1)] == ["t2", "t1", "t0"]
+
+
+def test_remaining_keeps_null_pairs(spark, rows):
+    work = spark.createDataFrame([("d", "a"), ("d", "b"), (None, "c")], "db string, `table` string")
+    done = spark.createDataFrame([("d", "a"), (None, "c")], "target_db string, target_table string")
+    assert rows(ex.remaining(work, done)) == [("d", "b"), (None, "c")]
+
+
+def test_work_list_extraction_windows(spark):
+    parts = logs(
+        spark, [(1, q, day(q), "d", "a", TIME) for q in range(61)],
+        [(1, q, day(q), 7, "Insert ", "u") for q in range(61)],
+        [(1, q, day(q), "x") for q in range(61)],
+    )
+    batches = spark.createDataFrame([("d", "a", 4), ("d", "a", 4), ("d", "z", 4)], "db string, `table` string, batch_number int")
+    got = ex.extract_work_list(
+        batches, *parts, ["Insert"], F.lit(day(0)), F.lit(day(60))).collect()
+    assert len(got) == 60  # 60 days are two whole windows: the end day opens none
+    assert {r.window_no for r in got} == {1, 2}
+    assert all(r.window_start <= r.logdate <= r.window_end and r.batch_number == 4 for r in got)
+    totals = ex.row_totals(ex.extract_work_list(
+        batches, *parts, ["Insert"], F.lit(day(0)), F.lit(day(45)))).collect()
+    assert {(r.level, r.rows) for r in totals} == {(0, 30), (0, 16), (1, 46), (3, 46), (7, 46)}
+
+
+def test_completion_quirk_and_distinct_form(spark):
+    work = spark.createDataFrame([("d", "a"), ("d", "a")], "db string, `table` string")
+    done = spark.createDataFrame([("d", "a"), ("d", "a")], "target_db string, target_table string")
+    assert ex.completion(work, done).first().asDict() == {
+        "processed_tables": 1, "total_tables": 2, "completed": False}
+    assert ex.completion(work, done, distinct_work=True).first().completed
+    assert ex.completion(work.limit(0), done.limit(0)).first().completed
+
+
+def test_ledger_only_after_success(spark, rows, tmp_path):
+    packed = spark.createDataFrame(
+        [("d", 1, ["a", "b"], 2), ("d", 2, ["c"], 1)], "db string, batch_number int, tables array<string>, batch_size int")
+    outcomes = spark.createDataFrame([("d", 1, True), ("d", 2, False)], "db string, batch_number int, ok boolean")
+    ledger = ex.ledger_rows(packed, outcomes, F.lit(DAY))
+    ex.append_ledger(ledger, str(tmp_path / "ledger"))
+    ex.append_ledger(ledger.limit(0), str(tmp_path / "ledger"))
+    assert rows(spark.read.parquet(str(tmp_path / "ledger"))) == [
+        ("d", "a", 1, 2, "2024-01-01"), ("d", "b", 1, 2, "2024-01-01")]
+    assert ex.outcome_summary(outcomes).first().asDict() == {
+        "total_batches": 2, "successful_batches": 1, "failed_batches": 1}
