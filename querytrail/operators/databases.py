@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from querytrail.operators.mapping import keep_first
 from querytrail.schemas import LINEAGE_KEY
+from querytrail.session import store
 
 UNKNOWN = "Unknown"
 
@@ -119,13 +120,21 @@ def fill_databases(lineage: DataFrame, full_map: DataFrame) -> DataFrame:
 def resolve_databases(
     lineage: DataFrame, table_map: DataFrame, catalog: DataFrame, pos: str, map_pos: str
 ) -> tuple[DataFrame, DataFrame]:
-    """Lineage rows with their databases, and the rows to append to the saved map."""
+    """Lineage rows with their databases, and the rows to append to the saved map.
+
+    The map of the tables (one row per side and table) is stored on the way, so the lineage rows
+    are read twice only: for the map and for the result.
+    """
     sides = lineage_databases(lineage, pos)  # copies do not change it, so no dedup first
-    known = sides.join(known_databases(table_map, map_pos), "table_name", "left").select(
-        "side", "table_name", F.coalesce("lineage_db", "map_db").alias("known_db"))
-    found = look_up(known.filter("known_db is null"), catalog)
-    full_map = known.join(found, "table_name", "left").select(
-        "side", "table_name", F.coalesce("known_db", "database_name").alias("database_name"))
+    known = store(
+        sides.join(known_databases(table_map, map_pos), "table_name", "left").select(
+            "side", "table_name", F.coalesce("lineage_db", "map_db").alias("known_db")),
+        "known-databases")
+    found = store(look_up(known.filter("known_db is null"), catalog), "found-databases")
+    full_map = store(
+        known.join(found, "table_name", "left").select(
+            "side", "table_name", F.coalesce("known_db", "database_name").alias("database_name")),
+        "database-map")
     return fill_databases(unique_lineage(lineage, [pos]), full_map), found
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from querytrail.functions.ordered import BITS, odd_of_runs
 from querytrail.functions.text import quoted_list, trim_blank
-from querytrail.session import ensure_checkpoint_dir
+from querytrail.session import store
 
 # The two log messages. Both arrows occur: the message itself prints the second.
 # Flags: Unicode classes, and \n as the only line end.
@@ -65,8 +65,7 @@ def classify_pairs(lines: DataFrame, bits: int = BITS) -> DataFrame:
     A processed pair uses up its second line, so a pair starting there is not looked at. The pairs
     are few but used several times, so they are stored: the log itself is read once.
     """
-    ensure_checkpoint_dir(lines.sparkSession)
-    pairs = adjacent_messages(lines).checkpoint()
+    pairs = store(adjacent_messages(lines), "message-pairs")
     usable = (F.col("Database") == F.col("skip_db")) & F.col("tables").isNotNull()
     processed = odd_of_runs(pairs.filter(usable), ["file"], "line_no", bits)
     used = processed.select("file", (F.col("line_no") + 1).alias("line_no"))

@@ -12,11 +12,12 @@ from querytrail.functions import documents as docs
 from querytrail.functions import text as tx
 from querytrail.functions.ordered import BITS, number_rows
 from querytrail.schemas import NODE
-from querytrail.session import work_folder
+from querytrail.session import store
 
 TREE = ["file", "tree_no"]
 # A rule-name list of a grammar; far below any broadcast limit up to this length.
 MAX_BROADCAST_RULES = 10_000
+NODE_CHILD = "struct<ordinal: bigint, node_id: bigint, node_type: string, text: string>"
 # The synthetic root over the trees of one script.
 COMBINED_TYPE = "CombinedQueries"
 COMBINED_TEXT = "Multiple queries"
@@ -55,31 +56,33 @@ def parents(nodes: DataFrame) -> DataFrame:
     return nodes.select(*TREE, "node_id", "node_type", "parent_id", "parent_type")
 
 
-def _below(nodes: DataFrame, children: DataFrame) -> DataFrame:
-    """Left join of every node with at most one selected child."""
-    here = nodes.select(*TREE, "node_id")
-    return here.join(children.withColumnRenamed("parent_id", "node_id"), [*TREE, "node_id"], "left")
+def _with_child(nodes: DataFrame, fits: Column) -> DataFrame:
+    """Every node with the first of its children that fits; null without one.
+
+    A node appears for itself and, where it fits, under its parent: one scan and one shuffle of
+    pre-combined rows instead of a self-join.
+    """
+    child = F.struct("ordinal", "node_id", "node_type", "text")
+    own = F.struct(F.col("node_id").alias("at"), F.lit(None).cast(NODE_CHILD).alias("child"))
+    under = F.struct(F.col("parent_id").alias("at"), child.cast(NODE_CHILD).alias("child"))
+    places = F.when(fits & F.col("parent_id").isNotNull(), F.array(own, under)).otherwise(
+        F.array(own))
+    return (
+        nodes.select(*TREE, F.explode(places).alias("p"))
+        .groupBy(*TREE, F.col("p.at").alias("node_id")).agg(F.min("p.child").alias("c"))
+        .select(*TREE, "node_id", F.col("c.node_id").alias("child_id"),
+                F.col("c.node_type").alias("child_type"), F.col("c.text").alias("child_text"))
+    )
 
 
 def ith_child(nodes: DataFrame, i: int) -> DataFrame:
     """The i-th child (0-based) of every node; null when out of range."""
-    child = nodes.filter((F.col("ordinal") == i) & F.col("parent_id").isNotNull()).select(
-        *TREE, "parent_id", F.col("node_id").alias("child_id"),
-        F.col("node_type").alias("child_type"), F.col("text").alias("child_text"))
-    return _below(nodes, child)
+    return _with_child(nodes, F.col("ordinal") == i)
 
 
 def first_child_named(nodes: DataFrame, name: str) -> DataFrame:
     """The first child with this rule or token name of every node; null without one."""
-    fits = (F.col("rule_name") == name) | (F.col("token_name") == name)
-    first = F.min_by(F.struct("node_id", "node_type", "text"), "ordinal")
-    child = (
-        nodes.filter(fits & F.col("parent_id").isNotNull()).groupBy(*TREE, "parent_id")
-        .agg(first.alias("c")).select(
-            *TREE, "parent_id", F.col("c.node_id").alias("child_id"),
-            F.col("c.node_type").alias("child_type"), F.col("c.text").alias("child_text"))
-    )
-    return _below(nodes, child)
+    return _with_child(nodes, (F.col("rule_name") == name) | (F.col("token_name") == name))
 
 
 def children_named(nodes: DataFrame, attribute: str) -> DataFrame:
@@ -173,10 +176,8 @@ def detailed(nodes: DataFrame, tokens: DataFrame, rule_names: list[str]) -> Data
 
 
 def store_nodes(nodes: DataFrame) -> DataFrame:
-    """The node table written to the shared folder, for use by several operators."""
-    folder = work_folder(nodes.sparkSession, "nodes")
-    nodes.write.parquet(folder)
-    return nodes.sparkSession.read.parquet(folder)
+    """The node table in the shared folder, for use by several operators."""
+    return store(nodes, "nodes")
 
 
 def combine_trees(nodes: DataFrame, lengths: DataFrame, bits: int = BITS) -> DataFrame:

@@ -10,7 +10,7 @@ from querytrail.operators import merge, pairs
 from querytrail.plans.registry import query
 from querytrail.plans.standins import Tables
 from querytrail.schemas import strings
-from querytrail.session import work_folder
+from querytrail.session import store, work_folder
 from querytrail.sources import sinks, tables
 
 # --- pair filters --------------------------------------------------------------------------
@@ -164,7 +164,7 @@ SELECT *, CAST((SELECT greatest(count(*) - 10, 0) FROM ({_DIFF}) e) AS BIGINT) A
 ORDER BY error_code, target_db, target_table, target_column, source_db NULLS LAST, source_table, source_column LIMIT 10""")
 def first_rows_and_rest(t):
     return mp.sample_report(
-        differences(t), [*mp.REPORT_ORDER, "source_db", "source_table", "source_column"])
+        store(differences(t), "differences"), [*mp.REPORT_ORDER, "source_db", "source_table", "source_column"])
 
 
 # --- database resolution -------------------------------------------------------------------

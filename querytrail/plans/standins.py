@@ -11,6 +11,8 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from querytrail.session import tune
+
 GIVEN = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
@@ -159,7 +161,7 @@ class Tables:
     """Given tables and stand-ins of one data folder as DataFrames."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = tune(spark), folder
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in GIVEN:

@@ -134,7 +134,7 @@ SELECT file, CAST(CASE WHEN layout = 3 THEN n - 1 ELSE 0 END AS INT) AS tree_no,
 GROUP BY 1, 2""")
 def visit_rules(t):
     # flag nodes lie below line nodes, so a visitor for both reaches the lines only
-    all_nodes = nodes(t)
+    all_nodes = tr.store_nodes(nodes(t))
     first = all_nodes.filter("token_name = 'PART'").select(
         "file", "tree_no", F.col("parent_id").alias("node_id"), F.col("text").alias("part"))
     with_part = all_nodes.join(first, ["file", "tree_no", "node_id"], "left")
@@ -271,7 +271,7 @@ SELECT file, pos, coalesce(lead(type, 1) OVER w, -1) AS la_2, lead(text, 1) OVER
   coalesce(lag(type, 2) OVER w, -1) AS la_m1, lag(text, 2) OVER w AS lt_m1
 FROM {c_tokens} WINDOW w AS (PARTITION BY file ORDER BY pos)""")
 def token_look_ahead(t):
-    return tk.look_ahead(tokens(t), [2, 4, -1], bits=8).select(
+    return tk.look_ahead(tokens(t), [2, 4, -1]).select(
         "file", "pos", "la_2", "lt_2", "la_4", "lt_4", "la_m1", "lt_m1")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Everything here can be overridden by the cluster's own configuration.
 DEFAULTS = {
@@ -19,10 +19,14 @@ DEFAULTS = {
     # Python batches are bounded by bytes too: one parse tree may be large.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
+TUNED = [
+    "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin", "spark.sql.execution.arrow.maxBytesPerBatch",
+]
 
 
 def build_session(app: str = "querytrail", master: str | None = None, **conf: str) -> SparkSession:
-    """Session with the settings above; `conf` uses `_` for `.` in no place, pass a dict with **."""
+    """Session with the settings above; pass further or other settings with **{"spark.x": "y"}."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -31,6 +35,13 @@ def build_session(app: str = "querytrail", master: str | None = None, **conf: st
     return builder.getOrCreate()
 
 
+def tune(spark: SparkSession) -> SparkSession:
+    """Skew handling and batch limits for a session that was started elsewhere."""
+    for key in TUNED:
+        spark.conf.set(key, DEFAULTS[key])
+    return spark
+
+
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A new path under the shared folder that the cluster names in spark.checkpoint.dir."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -43,7 +54,12 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/querytrail-{purpose}-{uuid.uuid4().hex}"
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    if spark.sparkContext.getCheckpointDir() is None:
-        base = spark.conf.get("spark.checkpoint.dir", None)
-        spark.sparkContext.setCheckpointDir(base or tempfile.mkdtemp(prefix="querytrail-"))
+def store(df: DataFrame, purpose: str) -> DataFrame:
+    """The same rows as a table in the shared folder.
+
+    For intermediate results that several steps read: they are computed once, survive a lost
+    executor, and their size is known to the planner.
+    """
+    path = work_folder(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
