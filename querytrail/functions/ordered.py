@@ -85,7 +85,7 @@ def look_around(
         for o, columns in offsets.items()
         for name, value in columns
     }
-    spread = df.withColumn("_home", F.explode(homes)).withColumns(added)
+    spread = df.withColumn("_home", F.explode_outer(homes)).withColumns(added)
     return spread.filter("_home.own").drop("_home")
 
 
@@ -106,7 +106,7 @@ def odd_of_runs(df: DataFrame, keys: list[str], pos: str, bits: int = BITS) -> D
     begins = previous.isNull() | (previous < at - 1)
     up_to_here = window.rowsBetween(Window.unboundedPreceding, 0)
     rows = (
-        df.withColumn("_group", F.explode(homes))
+        df.withColumn("_group", F.explode_outer(homes))
         .withColumn("_start", F.when(begins & own, at))
         .withColumn("_local", F.max("_start").over(up_to_here)).filter(own)
     )

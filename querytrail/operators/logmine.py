@@ -11,52 +11,67 @@ from querytrail.session import store
 
 # The two log messages. Both arrows occur: the message itself prints the second.
 # Flags: Unicode classes, and \n as the only line end.
-SPOOL = r"(?Ud)^.*WARNING.*Spool\s+error\s+for\s+(\w+)\s+tables\s+(\[.*?\])"
+SPOOL = r"(?Ud)^.*WARNING.*Spool\s+error\s+for\s+(\w+)\s+tables\s+(\[.*?\]).*$"
 SKIP = (
     r"(?Ud)^.*WARNING.*Skipping\s+date\s+range\s+(\d{4}-\d{2}-\d{2})\s*(?:->|→)\s*"
-    r"(\d{4}-\d{2}-\d{2})\s+for\s+(\w+)\s+[Bb]atch\s+(\d+)\s+due\s+to\s+error"
+    r"(\d{4}-\d{2}-\d{2})\s+for\s+(\w+)\s+[Bb]atch\s+(\d+)\s+due\s+to\s+error.*$"
 )
+SPOOL_NAMES = ["Database", "table_list"]
+SKIP_NAMES = ["Start_Date", "End_Date", "skip_db", "Batch"]
+MARK = "\x01"
 
 
-def spool_fields(line: Column) -> list[Column]:
-    return [
-        F.regexp_extract(line, SPOOL, 1).alias("Database"),
-        F.regexp_extract(line, SPOOL, 2).alias("table_list"),
-    ]
+def capture(line: Column, word: str, pattern: str, names: list[str]) -> Column:
+    """All groups of a message in one text, each ended by a mark; null when it does not match.
+
+    One regular expression per line, and only on lines that hold the plain words.
+    """
+    candidate = line.contains("WARNING") & line.contains(word)
+    groups = "".join(f"${i + 1}{MARK}" for i in range(len(names)))
+    replaced = F.regexp_replace(line, pattern, groups)
+    return F.when(candidate & replaced.endswith(MARK), replaced)
+
+
+def spool_capture(line: Column) -> Column:
+    return capture(line, "Spool", SPOOL, SPOOL_NAMES)
 
 
-def skip_fields(line: Column) -> list[Column]:
-    names = ["Start_Date", "End_Date", "skip_db", "Batch"]
-    return [F.regexp_extract(line, SKIP, i + 1).alias(n) for i, n in enumerate(names)]
+def skip_capture(line: Column) -> Column:
+    return capture(line, "Skipping", SKIP, SKIP_NAMES)
+
+
+def fields(captured: Column, names: list[str]) -> list[Column]:
+    return [F.split_part(captured, F.lit(MARK), F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
 
 
 def adjacent_messages(lines: DataFrame) -> DataFrame:
     """A spool message directly followed by a skip message: (file, line_no, fields, tables).
 
-    Only matching lines are shuffled, keyed by (file, line of the pair), so neither the file nor
-    the order of its lines ever gathers in one task.
+    Only the captured parts of matching lines are shuffled, keyed by (file, line of the pair), so
+    neither the file nor the order of its lines ever gathers in one task.
     """
     text = trim_blank(F.col("line"))
-    # Plain substring tests first: few lines of a log reach the regular expressions.
-    warning = F.col("line").contains("WARNING")
-    spool = warning & F.col("line").contains("Spool") & text.rlike(SPOOL)
-    skip = warning & F.col("line").contains("Skipping") & text.rlike(SKIP)
-    roles = F.array_compact(F.array(
-        F.when(spool, F.struct(
-            F.col("line_no").alias("at"), text.alias("first"), F.lit(None).cast("string").alias("second"))),
-        F.when(skip, F.struct(
-            (F.col("line_no") - 1).alias("at"), F.lit(None).cast("string").alias("first"),
-            text.alias("second"))),
-    ))
+    found = lines.filter(
+        F.col("line").contains("WARNING")
+        & (F.col("line").contains("Spool") | F.col("line").contains("Skipping"))
+    ).select("file", "line_no", spool_capture(text).alias("a"), skip_capture(text).alias("b"))
+    none = F.lit(None).cast("string")
+    first = F.struct(F.col("line_no").alias("at"), F.col("a").alias("a"), none.alias("b"))
+    second = F.struct((F.col("line_no") - 1).alias("at"), none.alias("a"), F.col("b").alias("b"))
+    has_a, has_b = F.col("a").isNotNull(), F.col("b").isNotNull()
+    roles = (
+        F.when(has_a & has_b, F.array(first, second)).when(has_a, F.array(first))
+        .when(has_b, F.array(second))
+    )
     pairs = (
-        lines.filter(spool | skip).select("file", F.explode(roles).alias("r"))
+        found.select("file", F.explode_outer(roles).alias("r"))
         .groupBy("file", F.col("r.at").alias("line_no"))
-        .agg(F.max("r.first").alias("first"), F.max("r.second").alias("second"))
-        .filter("first is not null and second is not null")
+        .agg(F.max("r.a").alias("a"), F.max("r.b").alias("b"))
+        .filter("a is not null and b is not null")
     )
-    fields = pairs.select(
-        "file", "line_no", *spool_fields(F.col("first")), *skip_fields(F.col("second")))
-    return fields.withColumn("tables", quoted_list(F.col("table_list")))
+    named = pairs.select(
+        "file", "line_no", *fields(F.col("a"), SPOOL_NAMES), *fields(F.col("b"), SKIP_NAMES))
+    return named.withColumn("tables", quoted_list(F.col("table_list")))
 
 
 def classify_pairs(lines: DataFrame, bits: int = BITS) -> DataFrame:

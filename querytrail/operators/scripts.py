@@ -33,7 +33,8 @@ def is_valid(statement: Column, keywords: list[str] | None = None) -> Column:
 def split_statements(scripts: DataFrame, clean: bool = False) -> DataFrame:
     """(file, stmt_no, stmt): trimmed, non-blank; the number counts blank parts too."""
     text = clean_line_ends(F.col("script")) if clean else F.col("script")
-    parts = scripts.select("file", F.posexplode(F.split(text, ";")).alias("pos", "part"))
+    # the outer form spares a second split that Spark would add as a filter on empty arrays
+    parts = scripts.select("file", F.posexplode_outer(F.split(text, ";")).alias("pos", "part"))
     return parts.select(
         "file", (F.col("pos") + 1).alias("stmt_no"), trim_control(F.col("part")).alias("stmt")
     ).filter("stmt <> ''")

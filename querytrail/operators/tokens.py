@@ -22,7 +22,8 @@ def read_tokens(documents: DataFrame) -> DataFrame:
     layout = T.StructType([T.StructField("tokenStream", T.ArrayType(TOKEN))])
     listed = documents.select(
         "file", F.from_json("payload", layout, DEEP_JSON)["tokenStream"].alias("t"))
-    rows = listed.select("file", F.posexplode("t").alias("pos", "t"))
+    # the outer form: a plain explode makes Spark parse each document once more for a filter
+    rows = listed.select("file", F.posexplode_outer("t").alias("pos", "t")).filter("pos is not null")
 
     def field(name: str, default) -> Column:
         return F.coalesce(F.col(f"t.{name}"), F.lit(default))

@@ -68,7 +68,7 @@ def _with_child(nodes: DataFrame, fits: Column) -> DataFrame:
     places = F.when(fits & F.col("parent_id").isNotNull(), F.array(own, under)).otherwise(
         F.array(own))
     return (
-        nodes.select(*TREE, F.explode(places).alias("p"))
+        nodes.select(*TREE, F.explode_outer(places).alias("p"))
         .groupBy(*TREE, F.col("p.at").alias("node_id")).agg(F.min("p.child").alias("c"))
         .select(*TREE, "node_id", F.col("c.node_id").alias("child_id"),
                 F.col("c.node_type").alias("child_type"), F.col("c.text").alias("child_text"))

@@ -289,8 +289,12 @@ SELECT file, line_no, regexp_extract(line, '{_SPOOL}', 1) AS "Database", regexp_
   regexp_extract(line, '{_SKIP}', 3) AS skip_db, regexp_extract(line, '{_SKIP}', 4) AS Batch FROM {{v_loglines}}""")
 def log_captures(t):
     line = tx.trim_blank(F.col("line"))
-    return t["v_loglines"].select(
-        "file", "line_no", *logmine.spool_fields(line), *logmine.skip_fields(line))
+    captured = t["v_loglines"].select(
+        "file", "line_no", F.coalesce(logmine.spool_capture(line), F.lit("")).alias("a"),
+        F.coalesce(logmine.skip_capture(line), F.lit("")).alias("b"))
+    return captured.select(
+        "file", "line_no", *logmine.fields(F.col("a"), logmine.SPOOL_NAMES),
+        *logmine.fields(F.col("b"), logmine.SKIP_NAMES))
 
 
 @query("fn7_printed_lists", r"""

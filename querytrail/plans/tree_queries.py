@@ -11,7 +11,7 @@ from querytrail.operators import tokens as tk
 from querytrail.operators import trees as tr
 from querytrail.plans.registry import query
 from querytrail.plans.standins import Tables
-from querytrail.session import work_folder
+from querytrail.session import store, work_folder
 from querytrail.sources import sinks, texts
 
 RULES = ["script", "line", "flag", "line"]
@@ -152,7 +152,7 @@ LEFT JOIN (SELECT file AS f, n * 100 AS a, 2 * n - 2 AS i, part_text AS w FROM {
 LEFT JOIN (SELECT file AS f, n * 100 + 9 AS b, part_text AS w FROM {v_lines} WHERE layout = 2
   UNION ALL SELECT file, n * 100 + 19, supp_text FROM {v_lines} WHERE layout = 2) e ON e.f = file AND e.b = stop""")
 def detailed_flat_form(t):
-    documents = t.tree_documents()
+    documents = store(t.tree_documents(), "documents")
     full = tr.detailed(tr.flatten(documents), tk.read_tokens(documents), RULES)
     return full.select(
         "file", "tree_no", "node_id", "type", "rule_name", "rule_index", "token_type", "token_index",
