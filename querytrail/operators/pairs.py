@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querytrail.schemas import strings
+from querytrail.session import local_frame
 
 # A literal OR chain stays cheap up to about this many pairs; longer lists go through the join.
 MAX_LITERAL_PAIRS = 100
@@ -15,7 +16,10 @@ NULL_TEXT = "nan"
 
 
 def pair_frame(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFrame:
-    return spark.createDataFrame(sorted(set(pairs)), strings("db", "table"))
+    unique = sorted(set(pairs))
+    text = pa.string()
+    return local_frame(spark, {
+        "db": pa.array([d for d, _ in unique], text), "table": pa.array([t for _, t in unique], text)})
 
 
 def _as_text(name: str) -> Column:

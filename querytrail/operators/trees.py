@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,11 +13,9 @@ from querytrail.functions import documents as docs
 from querytrail.functions import text as tx
 from querytrail.functions.ordered import BITS, number_rows
 from querytrail.schemas import NODE
-from querytrail.session import store
+from querytrail.session import local_frame, store
 
 TREE = ["file", "tree_no"]
-# A rule-name list of a grammar; far below any broadcast limit up to this length.
-MAX_BROADCAST_RULES = 10_000
 NODE_CHILD = "struct<ordinal: bigint, node_id: bigint, node_type: string, text: string>"
 # The synthetic root over the trees of one script.
 COMBINED_TYPE = "CombinedQueries"
@@ -101,10 +100,9 @@ def rule_index(nodes: DataFrame, rule_names: list[str]) -> DataFrame:
     first = {}
     for i, name in enumerate(rule_names):
         first.setdefault(name, i)
-    listed = nodes.sparkSession.createDataFrame(
-        list(first.items()), "rule_name string, _index int")
-    if len(first) <= MAX_BROADCAST_RULES:
-        listed = F.broadcast(listed)
+    listed = local_frame(nodes.sparkSession, {
+        "rule_name": pa.array(list(first), pa.string()),
+        "_index": pa.array(list(first.values()), pa.int32())})
     index = F.when(F.col("kind") != "terminal", F.col("_index"))
     return nodes.join(listed, "rule_name", "left").select(
         *nodes.columns, F.coalesce(index, F.lit(-1)).alias("rule_index"))

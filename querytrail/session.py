@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 # Everything here can be overridden by the cluster's own configuration.
@@ -54,6 +55,11 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/querytrail-{purpose}-{uuid.uuid4().hex}"
 
 
+def local_frame(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
+    """A caller's list as a DataFrame whose size the planner knows, so it may be broadcast."""
+    return spark.createDataFrame(pa.table(columns))
+
+
 def store(df: DataFrame, purpose: str) -> DataFrame:
     """The same rows as a table in the shared folder.
 
