@@ -91,11 +91,11 @@ def catalog_databases(catalog: DataFrame) -> DataFrame:
 def look_up(tables: DataFrame, catalog: DataFrame) -> DataFrame:
     """(table_name, database_name) from the catalog; `Unknown` where it has none.
 
-    Only catalog rows of the wanted tables are aggregated.
+    The catalog is combined to one row per table before the join, so a table with very many
+    catalog rows costs one row per task.
     """
     wanted = tables.select("table_name").distinct()
-    rows = catalog.join(wanted, catalog["tablename"] == wanted["table_name"], "left_semi")
-    return wanted.join(catalog_databases(rows), "table_name", "left").select(
+    return wanted.join(catalog_databases(catalog), "table_name", "left").select(
         "table_name", F.coalesce("catalog_db", F.lit(UNKNOWN)).alias("database_name"))
 
 

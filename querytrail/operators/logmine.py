@@ -89,22 +89,30 @@ def classify_pairs(lines: DataFrame, bits: int = BITS) -> DataFrame:
         problems.withColumn("outcome", F.lit("problem")))
 
 
-def skipped_tables(lines: DataFrame, bits: int = BITS) -> DataFrame:
+def entries(classified: DataFrame) -> DataFrame:
     """(Database, Table, Start_Date, End_Date, Batch), one row per listed table."""
-    return classify_pairs(lines, bits).filter("outcome = 'processed'").select(
+    return classified.filter("outcome = 'processed'").select(
         "Database", F.explode("tables").alias("Table"), "Start_Date", "End_Date", "Batch")
 
 
-def mining_summary(lines: DataFrame, bits: int = BITS) -> DataFrame:
+def summary(classified: DataFrame) -> DataFrame:
     """Per file: processed pairs, table entries, problem lines."""
     done = F.col("outcome") == "processed"
-    return classify_pairs(lines, bits).groupBy("file").agg(
+    return classified.groupBy("file").agg(
         F.count_if(done).alias("processed_pairs"),
         F.coalesce(F.sum(F.when(done, F.size("tables"))), F.lit(0)).alias("table_entries"),
         F.count_if(~done).alias("skipped_lines"),
     )
 
 
+def skipped_tables(lines: DataFrame, bits: int = BITS) -> DataFrame:
+    return entries(classify_pairs(lines, bits))
+
+
+def mining_summary(lines: DataFrame, bits: int = BITS) -> DataFrame:
+    return summary(classify_pairs(lines, bits))
+
+
 def windows_to_repeat(skipped: DataFrame, batches: DataFrame) -> DataFrame:
     """All tables of a skipped batch with their window.
 

@@ -183,15 +183,18 @@ def combine_trees(nodes: DataFrame, lengths: DataFrame, bits: int = BITS) -> Dat
 
     A node keeps its order as (tree number, node id) in one number, so no running total over the
     nodes of a file is needed; end ids follow the same rule. Pass a stored node table: it is read
-    for the roots and for the nodes.
+    for the roots and for the nodes. What concerns whole trees (one row each) is stored, so the
+    join with the nodes can be split where a file has very many.
     """
     base = (F.col("tree_no").cast("long") + 1) * F.lit(1 << 32)
     roots = nodes.filter("parent_id is null").select(
         "file", "tree_no", (base + F.col("end_id")).alias("_last"))
-    placed = number_rows(roots, ["file"], "tree_no", "_place", bits)
+    placed = store(number_rows(roots, ["file"], "tree_no", "_place", bits), "tree-places")
     per_file = placed.groupBy("file").agg(
         F.max("_last").alias("_file_end"), F.max("_place").alias("_trees"))
-    places = placed.join(per_file, "file").select("file", "tree_no", "_place", "_file_end")
+    places = store(
+        placed.join(per_file, "file").select("file", "tree_no", "_place", "_file_end"),
+        "tree-places")
     is_root, node_id = F.col("parent_id").isNull(), base + F.col("node_id")
     moved = nodes.join(places, TREE).select(
         "file", F.lit(0).alias("tree_no"), node_id.alias("node_id"),

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from querytrail.functions.text import contains_ci, is_blank
+from querytrail.session import store
 
 ACTIVE = "Active Table"
 ISOLATED = "Isolated Drop/Rename"
@@ -26,9 +27,12 @@ def is_change() -> Column:
 def latest_rows(usage: DataFrame) -> DataFrame:
     """Rows of each table's latest log date.
 
-    An aggregate joined back, not a window: a table with very many rows stays spread out.
+    An aggregate joined back, not a window: a table with very many rows stays spread out. The
+    aggregate is stored first: joined directly, both sides would keep its partitioning by table
+    and Spark could not split a hot one.
     """
-    latest = usage.groupBy("ObjectTableName").agg(F.max("logdate").alias("logdate"))
+    latest = store(
+        usage.groupBy("ObjectTableName").agg(F.max("logdate").alias("logdate")), "latest-dates")
     return usage.join(latest, ["ObjectTableName", "logdate"]).select(*usage.columns)
 
 
@@ -99,4 +103,5 @@ def label_rows(usage: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def classify_tables(usage: DataFrame) -> DataFrame:
-    return label_rows(usage, table_classes(usage))
+    """Label every row; the classes are stored first, for the same reason as the latest dates."""
+    return label_rows(usage, store(table_classes(usage), "table-classes"))

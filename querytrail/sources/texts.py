@@ -12,6 +12,7 @@ DEEP_JSON = {"maxNestingDepth": "1000000", "maxStringLen": "2000000000"}
 
 
 def read_whole_files(spark: SparkSession, folder: str, glob: str, out: str) -> DataFrame:
+    """One row per file. Spark's file sources leave out files of zero bytes."""
     return (
         spark.read.text(folder, wholetext=True, pathGlobFilter=glob)
         .select(F.col("_metadata.file_name").alias("file"), F.col("value").alias(out))
