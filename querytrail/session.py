@@ -48,7 +48,9 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         current = spark.sparkContext.getCheckpointDir()
-        if current is None:  # nothing configured: a test or laptop session
+        if current is None:
+            if not spark.sparkContext.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
             current = tempfile.mkdtemp(prefix="querytrail-")
             spark.sparkContext.setCheckpointDir(current)
         base = current
