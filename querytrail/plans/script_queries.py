@@ -172,15 +172,16 @@ def failure_report(t):
 
 @query("sc2_script_scan", """
 SELECT true AS is_txt, CAST(length(string_agg(part, ';' ORDER BY seq)) + 1 AS INT) AS n, count(*) AS parts
-FROM (SELECT l_orderkey // 100 AS lot, part, l_orderkey * 100 + stmt_no AS seq FROM {v_parts}) p GROUP BY lot""")
+FROM (SELECT l_orderkey // 100 AS hundred, lot, part, l_orderkey * 1000 + stmt_no AS seq FROM {v_parts}) p GROUP BY hundred, lot""")
 def script_scan(t):
-    # Script files with the statements of 100 orders each, so files grow in number, not in size.
+    # Script files from the scripts of 100 orders each: files grow in number, not in size.
     ordered = F.sort_array(F.collect_list(F.struct("l_orderkey", "stmt_no", "part")))
-    files = t["v_parts"].groupBy(F.floor(F.col("l_orderkey") / 100).alias("lot")).agg(
-        ordered.alias("p"))
+    files = t["v_parts"].groupBy(
+        F.floor(F.col("l_orderkey") / 100).alias("hundred"), "lot").agg(ordered.alias("p"))
     folder = work_folder(t.spark, "scripts")
-    files.select("lot", F.array_join(F.col("p.part"), ";").alias("value")).write.partitionBy(
-        "lot").text(folder)
+    named = F.concat_ws("-", "hundred", "lot").alias("script")
+    files.select(named, F.array_join(F.col("p.part"), ";").alias("value")).write.partitionBy(
+        "script").text(folder)
     return texts.read_scripts(t.spark, f"{folder}/*").select(
         F.col("file").endswith(".txt").alias("is_txt"), F.length("script").alias("n"),
         F.size(F.split("script", ";")).cast("long").alias("parts"))

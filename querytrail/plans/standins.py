@@ -11,6 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from querytrail.functions.ordered import number_rows
 from querytrail.session import tune
 
 GIVEN = [
@@ -22,6 +23,13 @@ GIVEN = [
 _POS = "((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 10000 + l_suppkey"
 
 
+# Bits of that position inside one block of an order: at most a few thousand blocks per order.
+_POS_BITS = 26
+# A script or tree holds at most 1 000 lines of an order, however many the order has.
+_LOT = "CAST((rank_no - 1 - (rank_no - 1) % 1000) / 1000 AS BIGINT)"
+_IN_LOT = "CAST((rank_no - 1) % 1000 + 1 AS INT)"
+
+
 def _mapping(table_prefix: str, condition: str) -> str:
     return f"""
 SELECT {_POS} AS pos,
@@ -131,29 +139,27 @@ SELECT l_orderkey, l_linenumber, l_quantity,
 SELECT DISTINCT concat('d', CAST(l_suppkey AS STRING)) AS db, concat('t', CAST(l_partkey AS STRING)) AS tbl
 FROM {lineitem} WHERE l_discount >= 0.08
 UNION SELECT 'nan', concat('t', CAST(p_partkey AS STRING)) FROM {part} WHERE p_size > 25""",
-    # --- scripts: the parts of each script, in order ---
+    # --- scripts: the parts of each script, in order; one order gives a script per 1 000 lines ---
     "v_parts": f"""
-SELECT concat('s', CAST(l_orderkey AS STRING), '.txt') AS file, l_orderkey, l_linestatus, l_quantity,
-  CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {_POS}) AS INT) AS stmt_no,
+SELECT concat('s', CAST(l_orderkey AS STRING), '-', CAST({_LOT} AS STRING), '.txt') AS file, l_orderkey,
+  {_LOT} AS lot, {_IN_LOT} AS stmt_no,
   CASE WHEN l_quantity < 4 THEN concat(' ', chr(9), chr(10))
        WHEN l_returnflag = 'A' THEN concat(chr(10), 'SELECT c', CAST(l_partkey AS STRING), ' FROM t', CAST(l_suppkey AS STRING), '  ')
        WHEN l_returnflag = 'N' THEN concat(chr(13), chr(10), ' INSERT INTO t', CAST(l_suppkey AS STRING), chr(13), chr(10), 'VALUES (', CAST(l_partkey AS STRING), ')')
        ELSE concat('merge into t', CAST(l_partkey AS STRING), ' using s', CAST(l_suppkey AS STRING),
                    ' on a.id = b.id when matched then set x = 1 and a long rest of the statement that goes past one hundred characters') END AS part
-FROM {{lineitem}}""",
+FROM {{v_ranked}}""",
     # --- parser runs: one per order ---
     "v_runs": """
-SELECT concat('s', CAST(o_orderkey AS STRING), '.txt') AS file, CAST(o_custkey % 400 AS BIGINT) AS duration,
+SELECT concat('s', CAST(o_orderkey AS STRING), '-0.txt') AS file, CAST(o_custkey % 400 AS BIGINT) AS duration,
   o_orderstatus = 'F' AS file_ok, o_orderstatus = 'O' AS reparse_ok,
   CASE WHEN o_custkey % 50 = 3 THEN 'boom' ELSE NULL END AS error FROM {orders}""",
     # --- tree lines: one rule per lineitem with two or three children ---
     "v_lines": f"""
-SELECT concat('s', CAST(l_orderkey AS STRING), '.txt') AS file, l_orderkey % 4 AS layout, n, k, before_k,
+SELECT concat('s', CAST(l_orderkey AS STRING), '-', CAST({_LOT} AS STRING), '.txt') AS file,
+  l_orderkey % 4 AS layout, {_IN_LOT} AS n, CASE WHEN l_linestatus = 'O' THEN 3 ELSE 5 END AS k,
   CAST(l_partkey AS STRING) AS part_text, CAST(l_suppkey AS STRING) AS supp_text, l_returnflag AS flag_text
-FROM (
-  SELECT *, CAST(sum(k) OVER (PARTITION BY l_orderkey ORDER BY n) - k AS BIGINT) AS before_k FROM (
-    SELECT *, CASE WHEN l_linestatus = 'O' THEN 3 ELSE 5 END AS k,
-      CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {_POS}) AS INT) AS n FROM {{lineitem}}) a) b""",
+FROM {{v_ranked}}""",
 }
 
 
@@ -166,6 +172,9 @@ class Tables:
     def __getitem__(self, name: str) -> DataFrame:
         if name in GIVEN:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name == "v_ranked":
+            lines = self["lineitem"].withColumn("_pos", F.expr(_POS))
+            return number_rows(lines, ["l_orderkey"], "_pos", "rank_no", _POS_BITS).drop("_pos")
         text = VIEWS[name]
         used = {n: self[n] for n in re.findall(r"\{([a-z]\w*)\}", text)}
         return self.spark.sql(text, **used)
@@ -186,7 +195,7 @@ class Tables:
             "file", F.array_join(F.col("p.part"), ";").alias("script"))
 
     def tree_documents(self) -> DataFrame:
-        """(file, payload): one JSON document per order, in four layouts."""
+        """(file, payload): one JSON document per script, in four layouts."""
         at = F.col("n") * 100
 
         def leaf(kind: str, text: str, offset: int):
@@ -248,6 +257,10 @@ class Tables:
 
 # Rows that only the checking engine builds: what the documents above must turn into.
 CHECK_VIEWS = {
+    "v_ranked": f"""
+SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_POS}) AS rank_no FROM {{lineitem}}""",
+    "c_lines": """
+SELECT *, CAST(sum(k) OVER (PARTITION BY file ORDER BY n) - k AS BIGINT) AS before_k FROM {v_lines}""",
     "c_nodes": """
 SELECT file, CAST(0 AS INT) AS tree_no, CAST(0 AS BIGINT) AS node_id, CAST(NULL AS BIGINT) AS parent_id,
   CAST(sum(k) AS BIGINT) AS end_id, 0 AS depth, CAST(0 AS BIGINT) AS ordinal, count(*) AS child_count,
@@ -265,7 +278,7 @@ SELECT file, CASE WHEN layout = 3 THEN n - 1 ELSE 0 END, base + o,
   CASE o WHEN 0 THEN part_text || supp_text WHEN 1 THEN part_text WHEN 2 THEN supp_text WHEN 3 THEN '' ELSE flag_text END,
   n * 100 + CASE o WHEN 2 THEN 10 WHEN 3 THEN 20 WHEN 4 THEN 20 ELSE 0 END,
   CASE o WHEN 0 THEN n * 100 + 99 WHEN 1 THEN n * 100 + 9 WHEN 2 THEN n * 100 + 19 WHEN 3 THEN -1 ELSE n * 100 + 29 END
-FROM (SELECT *, CASE WHEN layout = 3 THEN 0 ELSE 1 + before_k END AS base FROM {v_lines}) l,
+FROM (SELECT *, CASE WHEN layout = 3 THEN 0 ELSE 1 + before_k END AS base FROM {c_lines}) l,
   (SELECT unnest([0, 1, 2, 3, 4]) AS o) s WHERE o < k""",
     "c_labels": """
 SELECT *, CASE WHEN node_type LIKE 'Rule%' THEN 'rule' ELSE 'terminal' END AS kind,
