@@ -51,8 +51,15 @@ def fetch(
     objects: DataFrame, users: DataFrame, texts: DataFrame, db: str, tables: list[str],
     statement: str, start: str, end: str,
 ) -> DataFrame:
-    """Distinct extraction rows of some tables of one database in a date range."""
-    logs = log_filter(objects, users, texts, db, tables, statement, start, end)
+    """Distinct extraction rows of some tables of one database in a date range.
+
+    The range is set on every log: the key holds the date, and each scan prunes by itself.
+    """
+    in_range = F.col("logdate").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    logs = [
+        log.filter(in_range)
+        for log in log_filter(objects, users, texts, db, tables, statement, start, end)
+    ]
     return join_distinct(*logs).select(*EXTRACT_COLUMNS).distinct()
 
 
@@ -98,7 +105,7 @@ def extract_work_list(
         "batch_number",
     ).distinct()
     in_range = F.col("logdate").between(start, end)
-    kinds = users.filter(F.trim("StatementType").isin(statements))
+    kinds = users.filter(in_range & F.trim("StatementType").isin(statements))
     wanted = objects.filter(in_range).join(listed, ["ObjectDatabaseName", "ObjectTableName"])
     rows = join_distinct(wanted, kinds, texts.filter(in_range))
     window = window_of(F.col("logdate"), start, end, days)
