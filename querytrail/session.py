@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -37,9 +39,26 @@ def build_session(app: str = "querytrail", master: str | None = None, **conf: st
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Skew handling and batch limits for a session that was started elsewhere."""
+    """Skew handling and batch limits where a session that was started elsewhere leaves them unset."""
+    given = {key for key, _ in spark.sparkContext.getConf().getAll()}
     for key in TUNED:
-        spark.conf.set(key, DEFAULTS[key])
+        if key not in given:
+            spark.conf.set(key, DEFAULTS[key])
+    return spark
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the workers, once per application; they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED:
+        _SHIPPED.add(context.applicationId)
+        package = Path(__file__).resolve().parent
+        folder = tempfile.mkdtemp(prefix="querytrail-code-")
+        archive = shutil.make_archive(f"{folder}/querytrail", "zip", package.parent, package.name)
+        context.addPyFile(archive)
     return spark
 
 
