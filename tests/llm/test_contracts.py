@@ -1,0 +1,77 @@
+"""The contract queries against plain restatements of their rules."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+from collections import defaultdict
+
+import pytest
+import xxhash
+
+from querytrail.llm import queries
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+
+
+def test_op1_fingerprints_and_components(spark, documents):
+    prints = {}
+    for doc_id, text in documents.items():
+        words = [w for w in re.split(r"[\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)) if w]
+        shingles = [" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxhash.xxh64(s.encode(), seed=42).intdigest() for s in shingles]
+        prints[doc_id] = sum(1 << i for i in range(64) if 2 * sum(h >> i & 1 for h in hashes) > len(hashes))
+    smallest = {d: d for d in prints}
+    changed = True
+    while changed:
+        changed = False
+        for a in prints:
+            for b in prints:
+                if (prints[a] ^ prints[b]).bit_count() <= 2 and smallest[b] < smallest[a]:
+                    smallest[a], changed = smallest[b], True
+    got = {r.doc_id: (r.fingerprint, r.component_id)
+           for r in queries.op1_simhash_near_dedup(spark, SF).collect()}
+    assert got == {d: (f"{p:016x}", smallest[d]) for d, p in prints.items()}
+
+
+def test_op3_digests(spark):
+    turns = defaultdict(list)
+    for r in spark.read.parquet(f"{SF}/conversations.parquet").collect():
+        turns[r.conv_id].append((r.turn, r.role, r.text or ""))
+    marked = "</s>[INST] ok [/INST]"
+    turns[-7] = [(0, "user", marked), (1, "assistant", marked)]
+    want = {}
+    for conv, rows in turns.items():
+        rows.sort()
+        said = "".join(t for _, role, t in rows if role == "assistant")
+        want[conv] = (len(rows), hashlib.sha256("".join(f"{r}\n{t}\n" for _, r, t in rows).encode()).hexdigest(),
+                      len(said), hashlib.sha256(said.encode()).hexdigest())
+    got = {r[0]: tuple(r)[1:5] for r in queries.op3_chat_formatting(spark, SF).collect()}
+    assert got == want
+
+
+def test_op4_base_spans(spark, documents):
+    assign = re.compile(
+        r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"""
+        r"""|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+    want = {}
+    for doc_id, text in documents.items():
+        spans = [(m.start(), 0, f"assign:{m.start()}:{m.end()}") for m in assign.finditer(text) if len(m[2]) >= 6]
+        spans += [(m.start(), 1, f"access:{m.start()}:{m.end()}")
+                  for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+        spans += [(m.start(), 2, f"hex:{m.start()}:{m.end()}")
+                  for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+        spans.sort()
+        counts = [sum(s[1] == k for s in spans) for k in range(3)]
+        want[doc_id] = (*counts, hashlib.sha256(",".join(s[2] for s in spans).encode()).hexdigest(),
+                        [s[2] for s in spans])
+    assert any(sum(w[:3]) for w in want.values())
+    for r in queries.op4_secret_scan(spark, SF).collect():
+        *head, spans = want[r.doc_id]
+        assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == tuple(head)
+        assert set(spans) <= set(r.spans.split(","))
