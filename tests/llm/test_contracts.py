@@ -55,12 +55,13 @@ def test_op3_digests(spark):
     assert got == want
 
 
-def test_op4_base_spans(spark, documents):
+def test_op4_base_spans(spark):
     assign = re.compile(
         r"""((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]"""
         r"""|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY]))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
-    want = {}
-    for doc_id, text in documents.items():
+    want, folder = {}, SF.replace("0.001", "0.01")  # the smaller table holds no secrets
+    for doc_id, text in spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text").collect():
+        text = text or ""
         spans = [(m.start(), 0, f"assign:{m.start()}:{m.end()}") for m in assign.finditer(text) if len(m[2]) >= 6]
         spans += [(m.start(), 1, f"access:{m.start()}:{m.end()}")
                   for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
@@ -71,7 +72,7 @@ def test_op4_base_spans(spark, documents):
         want[doc_id] = (*counts, hashlib.sha256(",".join(s[2] for s in spans).encode()).hexdigest(),
                         [s[2] for s in spans])
     assert any(sum(w[:3]) for w in want.values())
-    for r in queries.op4_secret_scan(spark, SF).collect():
+    for r in queries.op4_secret_scan(spark, folder).collect():
         *head, spans = want[r.doc_id]
         assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == tuple(head)
         assert set(spans) <= set(r.spans.split(","))
