@@ -34,7 +34,7 @@ def boilerplate(
     pages = docs.select(F.col(host).alias("host"), _keys(F.col(text)).alias("keys"))
     totals = store(pages.groupBy("host").agg(F.count("*").alias("pages")), "host-pages")
     counts = store(
-        pages.select("host", F.explode("keys").alias("key")).groupBy("host", "key")
+        pages.select("host", F.explode_outer("keys").alias("key")).filter("key is not null").groupBy("host", "key")
         .agg(F.count("*").alias("with_line")).filter(F.col("with_line") >= min_pages), "line-pages")
     same_host = F.col("host").eqNullSafe(F.col("of_host"))
     frequent = counts.join(totals.withColumnRenamed("host", "of_host"), same_host).filter(

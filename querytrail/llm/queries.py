@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querytrail.llm import chat, lines, secrets, simhash
+from querytrail.llm import (
+    chat, lines, mixing, packing, quality, secrets, simhash, substrings, toxicity, vectors,
+)
 from querytrail.session import ship, tune
 
 
@@ -22,6 +25,10 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", simhash.hex_digits(F.col("fingerprint")).alias("fingerprint"), "component_id")
 
 
+def op2_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, folder, "documents").select("doc_id", "text"))
+
+
 def op3_chat_formatting(spark: SparkSession, folder: str) -> DataFrame:
     turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     marked = "</s>[INST] ok [/INST]"
@@ -40,9 +47,37 @@ def op5_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return lines.drop_boilerplate(docs)
 
 
+def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    trusted = _table(spark, folder, "labels").filter("quality = 1").select("doc_id")
+    return quality.apply_rules(docs, trusted).drop("text")
+
+
+def op7_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
+    return mixing.mix(docs, mixing.TARGETS, mixing.classes_of_documents()).drop("text")
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, folder, "labels")))
+
+
+def op9_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "embeddings").select("vec_id", "embedding", "label")
+    return vectors.near_duplicate_vectors(rows)
+
+
+def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_simhash_near_dedup, op3_chat_formatting, op4_secret_scan, op5_line_dedup)
+        op1_simhash_near_dedup, op2_substring_dedup, op3_chat_formatting, op4_secret_scan,
+        op5_line_dedup, op6_quality_rules, op7_mixing_sources, op8_toxicity,
+        op9_embedding_near_dedup, op10_best_fit_packing)
 }
 
-CHECKS: dict[str, str] = {"op5_line_dedup": lines.check_sql()}
+CHECKS: dict[str, str] = {"op5_line_dedup": lines.check_sql(), "op7_mixing_sources": mixing.check_sql()}
