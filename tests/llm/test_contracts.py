@@ -76,3 +76,74 @@ def test_op4_base_spans(spark):
         *head, spans = want[r.doc_id]
         assert (r.n_assign, r.n_access, r.n_hex, r.base_sha256) == tuple(head)
         assert set(spans) <= set(r.spans.split(","))
+
+
+def test_op6_measures(spark, documents):
+    want = {}
+    for doc_id, text in documents.items():
+        words = re.findall(r"[^\x20\x09-\x0D]+", text)
+        places = defaultdict(list)
+        for i in range(len(words) - 7):
+            places[tuple(words[i:i + 8])].append(i)
+        repeated = {i + k for at in places.values() if len(at) > 1 for i in at for k in range(8)}
+        lines = [line for line in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", line)]
+        n = len(words)
+        failed = n < 20 or 100 * len(repeated) > 30 * n
+        want[doc_id] = (n, sum(map(len, words)), sum(c in "#*$%&|<>" for c in text),
+                        len(lines) - len(set(lines)), len(repeated), failed)
+    rows = queries.op6_quality_rules(spark, SF).collect()
+    assert {r.doc_id: (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed)
+            for r in rows} == want
+    assert not any(r.kept and r.base_failed for r in rows)
+
+
+def test_op9_against_all_pairs(spark):
+    import numpy as np
+
+    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    n_links, reach = defaultdict(int), {r.vec_id: r.vec_id for r in rows}
+    pairs = []
+    for i, a in enumerate(rows):
+        for b in rows[i + 1:]:
+            if a.label is not None and a.label == b.label:
+                x, y = np.array(a.embedding, float), np.array(b.embedding, float)
+                if x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.93:
+                    pairs.append((a.vec_id, b.vec_id))
+                    n_links[a.vec_id] += 1
+                    n_links[b.vec_id] += 1
+    for _ in rows:
+        for a, b in pairs:
+            reach[a] = reach[b] = min(reach[a], reach[b])
+    assert pairs
+    got = queries.op9_embedding_near_dedup(spark, SF).collect()
+    assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {
+        v: (n_links[v], c, v == c) for v, c in reach.items()}
+
+
+def test_op10_pieces_and_places(spark, documents):
+    import zlib
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want, total = {}, 0
+    for doc_id, text in documents.items():
+        ids = [*tokenizer.encode(text, add_special_tokens=False).ids, 0]
+        total += len(ids)
+        for no, at in enumerate(range(0, len(ids), 2048)):
+            held = ids[at:at + 2048]
+            want[doc_id, no] = (at, len(held), zlib.crc32(np.array(held, "<u4").tobytes()))
+    rows = queries.op10_best_fit_packing(spark, SF).collect()
+    assert {(r.doc_id, r.piece): (r.start, r.length, r.ids_crc32) for r in rows} == want
+    sequences = defaultdict(list)
+    for r in rows:
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for placed in sequences.values():
+        end = 0
+        for offset, length in sorted(placed):
+            assert offset == end
+            end += length
+        assert end <= 2048
+    assert len(sequences) <= -(-total // 2048) + 2
