@@ -44,7 +44,8 @@ def rake(cells: DataFrame, targets: Targets, budget: float, sweeps: int = 12) ->
         once = F.row_number().over(Window.partitionBy(dimension).orderBy("tokens", *targets)) == 1
         cells = cells.withColumn("_once", F.when(once, _target(dimension, weights)).otherwise(0.0))
         cells = cells.withColumn(
-            f"_to_{dimension}", _target(dimension, weights) / F.sum("_once").over(whole)).drop("_once")
+            f"_to_{dimension}", F.coalesce(F.try_divide(
+                _target(dimension, weights), F.sum("_once").over(whole)), F.lit(0.0))).drop("_once")
     for sweep in range(sweeps):
         if sweep % SWEEPS_PER_JOB == 0:
             cells = store(cells, "raked").coalesce(1)
