@@ -20,7 +20,8 @@ def read_table(
     """Delimited text with a header line; every column stays a string unless a schema says so.
 
     Files are split, whatever their size. `multiline` is needed for quoted line breaks only and
-    makes each file one task. `position` adds a column that grows in file order.
+    makes each file one task. `position` adds a column that orders rows as the files, by name, and
+    the lines in them do: (path, start of the split, place in the split).
     """
     reader = (
         spark.read.option("header", True).option("escape", '"').option("multiLine", multiline)
@@ -30,12 +31,14 @@ def read_table(
         reader = reader.schema(schema)
     df = reader.csv(path)
     text = [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
+    if position:
+        df = df.withColumn(position, F.struct(
+            F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"),
+            F.monotonically_increasing_id().alias("no")))
     df = df.select([
         F.when(~F.col(f"`{c}`").isin(MISSING), F.col(f"`{c}`")).alias(c) if c in text
         else F.col(f"`{c}`") for c in df.columns
     ])
-    if position:
-        df = df.withColumn(position, F.monotonically_increasing_id())
     return df
 
 

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from querytrail.functions.documents import SHAPE, extractor, shapes
 from querytrail.functions.text import is_blank
+from querytrail.session import ship
 
 
 ACCEPTED, REJECTED = "accepted", "rejected"
@@ -36,6 +37,7 @@ def extraction_records(documents: DataFrame) -> DataFrame:
 
     `valid` is false for text that is not JSON; such rows keep the problem text and the payload.
     """
+    ship(documents.sparkSession)
     shape = F.pandas_udf(shapes, SHAPE)
     seen = documents.filter(~is_blank(F.col("payload"))).withColumn("_s", shape("payload"))
     return seen.select(
@@ -69,12 +71,17 @@ def start_ingest(
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def drain(query: StreamingQuery, max_wait_seconds: int = 600) -> bool:
-    """Wait for what has landed; after the limit stop the query. True when it finished itself."""
-    done = query.awaitTermination(max_wait_seconds)
-    if not done:
+def drain(query: StreamingQuery, max_wait_seconds: int | None = None) -> None:
+    """Wait until everything that has landed is done, however long that takes.
+
+    With a limit the query is stopped when it is reached, and a TimeoutError says that its output is
+    incomplete; the next run on the same checkpoint goes on where it stopped.
+    """
+    if max_wait_seconds is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(max_wait_seconds):
         query.stop()
-    return bool(done)
+        raise TimeoutError(f"the stream was stopped after {max_wait_seconds} s, before it was done")
 
 
 def processing_stats(records: DataFrame) -> DataFrame:

@@ -78,7 +78,7 @@ def test_landing_folder(spark, rows, tmp_path):
     def run():
         query = landing.start_ingest(
             landing.landing_stream(spark, str(folder)), str(tmp_path / "out"), str(tmp_path / "cp"))
-        assert landing.drain(query, 120)
+        landing.drain(query, 120)
         return spark.read.parquet(str(tmp_path / "out"))
 
     want = sorted((n, c, d) for n, (_, c, d) in FILES.items())
@@ -154,6 +154,30 @@ def test_position_follows_the_file(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_position_follows_files_of_unequal_size(spark, tmp_path):
+    n = 0
+    for part, size in enumerate((3, 400, 90, 200)):  # Spark plans the longest first
+        (tmp_path / f"part-{part}.csv").write_text("n\n" + "".join(f"{n + i}\n" for i in range(size)))
+        n += size
+    back = tables.read_table(spark, str(tmp_path), position="pos")
+    assert [int(r.n) for r in back.orderBy("pos").collect()] == list(range(n))
+    assert back.agg(F.min_by("n", "pos")).first()[0] == "0"
+
+
+def test_a_stopped_stream_is_an_error(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"in{i}.json").write_text("[1, 2]")
+    slow = F.udf(lambda x: __import__("time").sleep(20) or x)
+    stream = landing.landing_stream(spark, str(tmp_path), files_per_trigger=1)
+    started = landing.start_ingest(
+        stream.withColumn("payload", slow("payload")), str(tmp_path / "out"), str(tmp_path / "check"))
+    with pytest.raises(TimeoutError):
+        landing.drain(started, max_wait_seconds=3)
+    again = landing.start_ingest(stream, str(tmp_path / "out"), str(tmp_path / "check"))
+    landing.drain(again)
+    assert landing.good_records(spark.read.parquet(str(tmp_path / "out"))).count() == 3
+
+
 def test_log_lines_are_numbered_across_splits(spark, tmp_path):
     wanted = {}
     for name, end in (("a", "\n"), ("b", "\r\n")):
