@@ -11,19 +11,22 @@ from pyspark.sql import types as T
 
 from querytrail.functions import documents as docs
 from querytrail.functions import text as tx
-from querytrail.functions.ordered import BITS, number_rows
+from querytrail.functions.ordered import number_rows
 from querytrail.schemas import NODE
-from querytrail.session import local_frame, store
+from querytrail.session import local_frame, ship, store
 
 TREE = ["file", "tree_no"]
-NODE_CHILD = "struct<ordinal: bigint, node_id: bigint, node_type: string, text: string>"
 # The synthetic root over the trees of one script.
 COMBINED_TYPE = "CombinedQueries"
 COMBINED_TEXT = "Multiple queries"
+# Type and name of the token that ends a file.
+END_OF_FILE = -1
+END_NAME = "EOF"
 
 
 def read_nodes(documents: DataFrame) -> DataFrame:
     """Flatten (file, payload) documents; unreadable ones become rows with `error`."""
+    ship(documents.sparkSession)
     return documents.select("file", "payload").mapInArrow(docs.node_batches, NODE)
 
 
@@ -55,33 +58,29 @@ def parents(nodes: DataFrame) -> DataFrame:
     return nodes.select(*TREE, "node_id", "node_type", "parent_id", "parent_type")
 
 
-def _with_child(nodes: DataFrame, fits: Column) -> DataFrame:
-    """Every node with the first of its children that fits; null without one.
-
-    A node appears for itself and, where it fits, under its parent: one scan and one shuffle of
-    pre-combined rows instead of a self-join.
-    """
-    child = F.struct("ordinal", "node_id", "node_type", "text")
-    own = F.struct(F.col("node_id").alias("at"), F.lit(None).cast(NODE_CHILD).alias("child"))
-    under = F.struct(F.col("parent_id").alias("at"), child.cast(NODE_CHILD).alias("child"))
-    places = F.when(fits & F.col("parent_id").isNotNull(), F.array(own, under)).otherwise(
-        F.array(own))
-    return (
-        nodes.select(*TREE, F.explode_outer(places).alias("p"))
-        .groupBy(*TREE, F.col("p.at").alias("node_id")).agg(F.min("p.child").alias("c"))
-        .select(*TREE, "node_id", F.col("c.node_id").alias("child_id"),
-                F.col("c.node_type").alias("child_type"), F.col("c.text").alias("child_text"))
-    )
+def _below(nodes: DataFrame, children: DataFrame) -> DataFrame:
+    """Every node with its row of `children`, which holds one child per parent at most."""
+    found = children.select(
+        *TREE, F.col("parent_id").alias("node_id"), F.col("node_id").alias("child_id"),
+        F.col("node_type").alias("child_type"), F.col("text").alias("child_text"))
+    return nodes.select(*TREE, "node_id").join(found, [*TREE, "node_id"], "left")
 
 
 def ith_child(nodes: DataFrame, i: int) -> DataFrame:
-    """The i-th child (0-based) of every node; null when out of range."""
-    return _with_child(nodes, F.col("ordinal") == i)
+    """The i-th child (0-based) of every node; null when out of range. Pass a stored node table."""
+    return _below(nodes, nodes.filter((F.col("ordinal") == i) & F.col("parent_id").isNotNull()))
 
 
 def first_child_named(nodes: DataFrame, name: str) -> DataFrame:
-    """The first child with this rule or token name of every node; null without one."""
-    return _with_child(nodes, (F.col("rule_name") == name) | (F.col("token_name") == name))
+    """The first child with this rule or token name of every node; null without one.
+
+    Node ids grow in pre-order, so the first child has the smallest one: a number, which combines
+    before the shuffle. Pass a stored node table.
+    """
+    fitting = nodes.filter(
+        ((F.col("rule_name") == name) | (F.col("token_name") == name)) & F.col("parent_id").isNotNull())
+    first = fitting.groupBy(*TREE, "parent_id").agg(F.min("node_id").alias("node_id"))
+    return _below(nodes, fitting.join(first, [*TREE, "parent_id", "node_id"], "left_semi"))
 
 
 def children_named(nodes: DataFrame, attribute: str) -> DataFrame:
@@ -128,12 +127,14 @@ def tree_strings(nodes: DataFrame) -> DataFrame:
 def visited(nodes: DataFrame, rules: list[str]) -> DataFrame:
     """Rule nodes that a visitor with methods for these rules reaches, in pre-order.
 
+    A method for `foo` also serves rules that are called `fooContext`.
     A visited node is not searched further, so nodes below another match are left out. The window
     holds the matches of one tree, which came as one document.
     """
     earlier = Window.partitionBy(*TREE).orderBy("node_id").rowsBetween(
         Window.unboundedPreceding, -1)
-    matches = nodes.filter((F.col("kind") != "terminal") & F.col("rule_name").isin(rules))
+    served = [*rules, *(f"{rule}Context" for rule in rules)]
+    matches = nodes.filter((F.col("kind") != "terminal") & F.col("rule_name").isin(served))
     return (
         matches.withColumn("_reach", F.max("end_id").over(earlier))
         .filter(F.col("_reach").isNull() | (F.col("_reach") < F.col("node_id"))).drop("_reach")
@@ -148,28 +149,49 @@ def visit(nodes: DataFrame, rules: list[str], value: Column) -> DataFrame:
 
 
 def detailed(nodes: DataFrame, tokens: DataFrame, rule_names: list[str]) -> DataFrame:
-    """Flat detailed form: rule index and start/stop token of rules, token of terminals."""
-    def side(name: str, offset: str) -> DataFrame:
-        return tokens.select(
-            "file", F.col(offset).alias(f"_{name}_at"),
-            F.struct(
-                "type", "text", "line", "column", "start_index", "stop_index",
-                F.col("index").alias("token_index")).alias(name))
+    """Flat detailed form: rule index and start/stop token of rules, token of terminals.
+
+    One row per node. Of several tokens at one offset (empty ones, the end of file) the first in the
+    list counts; the end-of-file token belongs to the end-of-file terminal and to the rules that end
+    with it only, although it begins and ends where other tokens do.
+    """
+    token = F.struct(
+        "type", "text", "line", "column", "start_index", "stop_index",
+        F.col("index").alias("token_index"))
+    at_end = (F.col("type") == END_OF_FILE) | (F.col("type_name") == END_NAME)
+    listed = tokens.withColumn("_token", token)
 
-    indexed = rule_index(nodes.filter("kind <> 'other'"), rule_names)
+    def side(name: str, offset: str) -> DataFrame:
+        first = Window.partitionBy("file", offset).orderBy("index", "pos")
+        return (
+            listed.filter(~at_end).withColumn("_n", F.row_number().over(first)).filter("_n = 1")
+            .select("file", F.col(offset).alias(f"_{name}_at"), F.col("_token").alias(name))
+        )
+
+    indexed = store(rule_index(nodes.filter("kind <> 'other'"), rule_names), "indexed-nodes")
+    ends = indexed.filter((F.col("kind") == "terminal") & (F.col("token_name") == END_NAME)).groupBy(
+        *TREE).agg(F.max("node_id").alias("_end_node"))
+    end_tokens = listed.filter(at_end).groupBy("file").agg(F.min_by("_token", "pos").alias("_end_token"))
+    known = store(
+        ends.join(end_tokens, "file", "left").select(*TREE, "_end_node", "_end_token"), "end-nodes")
+    placed = indexed.join(known, TREE, "left")
     first, last = side("start_token", "start_index"), side("stop_token", "stop_index")
-    joined = (
-        indexed.join(first.withColumnRenamed("_start_token_at", "start"), ["file", "start"], "left")
-        .join(last.withColumnRenamed("_stop_token_at", "stop"), ["file", "stop"], "left")
-    )
+    begun = placed.join(first.withColumnRenamed("_start_token_at", "start"), ["file", "start"], "left")
     is_rule = F.col("kind") == "rule"
-    return joined.select(
+    rules = begun.filter(is_rule).join(
+        last.withColumnRenamed("_stop_token_at", "stop"), ["file", "stop"], "left")
+    both = rules.unionByName(begun.filter(~is_rule), allowMissingColumns=True)
+    ends_file = F.coalesce(F.col("end_id") == F.col("_end_node"), F.lit(False))
+    is_end = ends_file & ~is_rule
+    start = F.when(is_end, F.col("_end_token")).otherwise(F.col("start_token"))
+    stop = F.when(ends_file, F.col("_end_token")).otherwise(F.col("stop_token"))
+    return both.select(
         *TREE, "node_id", F.col("kind").alias("type"),
         F.when(is_rule, F.col("rule_name")).alias("rule_name"),
         F.when(is_rule, F.col("rule_index")).alias("rule_index"),
         F.when(~is_rule, F.col("token_name")).alias("token_type"),
-        F.when(~is_rule, F.col("start_token.token_index")).alias("token_index"),
-        "text", "start_token", F.when(is_rule, F.col("stop_token")).alias("stop_token"),
+        F.when(~is_rule, start["token_index"]).alias("token_index"),
+        "text", start.alias("start_token"), F.when(is_rule, stop).alias("stop_token"),
     )
 
 
@@ -178,7 +200,7 @@ def store_nodes(nodes: DataFrame) -> DataFrame:
     return store(nodes, "nodes")
 
 
-def combine_trees(nodes: DataFrame, lengths: DataFrame, bits: int = BITS) -> DataFrame:
+def combine_trees(nodes: DataFrame, lengths: DataFrame) -> DataFrame:
     """All trees of a file under one synthetic root; `lengths` holds (file, length) of the script.
 
     A node keeps its order as (tree number, node id) in one number, so no running total over the
@@ -189,7 +211,7 @@ def combine_trees(nodes: DataFrame, lengths: DataFrame, bits: int = BITS) -> Dat
     base = (F.col("tree_no").cast("long") + 1) * F.lit(1 << 32)
     roots = nodes.filter("parent_id is null").select(
         "file", "tree_no", (base + F.col("end_id")).alias("_last"))
-    placed = store(number_rows(roots, ["file"], "tree_no", "_place", bits), "tree-places")
+    placed = store(number_rows(roots, ["file"], "tree_no", "_place"), "tree-places")
     per_file = placed.groupBy("file").agg(
         F.max("_last").alias("_file_end"), F.max("_place").alias("_trees"))
     places = store(

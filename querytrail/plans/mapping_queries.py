@@ -68,17 +68,18 @@ def _slice(t: Tables, status: str):
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
 
 
-@query("se1_header_checked_concat", f"SELECT {_ORDERS} FROM {{orders}} WHERE o_orderstatus IN ('F', 'O')")
+@query("se1_header_checked_concat", f"SELECT {_ORDERS} FROM {{orders}}")
 def header_checked_concat(t):
-    return merge.concat_checked(_slice(t, "F"), _slice(t, "O"))
+    return merge.concat_checked(merge.concat_checked(_slice(t, "F"), _slice(t, "O")), _slice(t, "P"))
 
 
 @query("se2_positional_concat", f"""
-SELECT {_ORDERS} FROM {{orders}} WHERE o_orderstatus = 'F'
+SELECT {_ORDERS} FROM {{orders}} WHERE o_orderstatus <> 'P'
 UNION ALL SELECT o_custkey, o_orderkey, o_orderstatus, o_totalprice FROM {{orders}} WHERE o_orderstatus = 'P'""")
 def positional_concat(t):
     other = _slice(t, "P").select("o_custkey", "o_orderkey", "o_orderstatus", "o_totalprice")
-    return merge.concat_positional(_slice(t, "F"), other)
+    whole = merge.concat_positional(_slice(t, "F"), _slice(t, "O"))
+    return merge.concat_positional(whole, other)
 
 
 @query("se3_combine_statement_extracts", f"""

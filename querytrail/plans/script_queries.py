@@ -172,14 +172,14 @@ def failure_report(t):
 
 @query("sc2_script_scan", """
 SELECT true AS is_txt, CAST(length(string_agg(part, ';' ORDER BY seq)) + 1 AS INT) AS n, count(*) AS parts
-FROM (SELECT l_orderkey // 100 AS hundred, lot, part, l_orderkey * 1000 + stmt_no AS seq FROM {v_parts}) p GROUP BY hundred, lot""")
+FROM (SELECT l_orderkey // 100 AS hundred, part, l_orderkey * 1000 + stmt_no AS seq FROM {v_parts}) p GROUP BY hundred""")
 def script_scan(t):
     # Script files from the scripts of 100 orders each: files grow in number, not in size.
     ordered = F.sort_array(F.collect_list(F.struct("l_orderkey", "stmt_no", "part")))
     files = t["v_parts"].groupBy(
-        F.floor(F.col("l_orderkey") / 100).alias("hundred"), "lot").agg(ordered.alias("p"))
+        F.floor(F.col("l_orderkey") / 100).alias("hundred")).agg(ordered.alias("p"))
     folder = work_folder(t.spark, "scripts")
-    named = F.concat_ws("-", "hundred", "lot").alias("script")
+    named = F.col("hundred").alias("script")
     files.select(named, F.array_join(F.col("p.part"), ";").alias("value")).write.partitionBy(
         "script").text(folder)
     return texts.read_scripts(t.spark, f"{folder}/*").select(

@@ -11,8 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querytrail.functions.ordered import number_rows
-from querytrail.session import tune
+from querytrail.session import ship, tune
 
 GIVEN = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -23,23 +22,17 @@ GIVEN = [
 _POS = "((l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey) * 10000 + l_suppkey"
 
 
-# Bits of that position inside one block of an order: at most a few thousand blocks per order.
-_POS_BITS = 26
-# A script or tree holds at most 1 000 lines of an order, however many the order has.
-_LOT = "CAST((rank_no - 1 - (rank_no - 1) % 1000) / 1000 AS BIGINT)"
-_IN_LOT = "CAST((rank_no - 1) % 1000 + 1 AS INT)"
-
-
-def _mapping(table_prefix: str, condition: str) -> str:
+def _mapping(table_prefix: str, shared: str, own: str) -> str:
+    """A mapping over all lines; lines outside `shared` have target columns of their own."""
     return f"""
 SELECT {_POS} AS pos,
   CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE concat('SDB', CAST(l_suppkey % 5 AS STRING)) END AS source_db,
-  concat(CASE WHEN l_quantity > 25 THEN '{table_prefix}' ELSE 'ST' END, CAST(l_partkey % 400 AS STRING)) AS source_table,
+  concat(CASE WHEN l_suppkey % 2 = 0 THEN '{table_prefix}' ELSE 'ST' END, CAST(l_partkey % 400 AS STRING)) AS source_table,
   concat('C', CAST(l_linenumber AS STRING)) AS source_column,
   concat('TDB', CAST(l_suppkey % 3 AS STRING)) AS target_db,
   concat('TT', CAST(l_orderkey % 6 AS STRING)) AS target_table,
-  concat('C', CAST(l_linenumber AS STRING)) AS target_column
-FROM {{lineitem}} WHERE {condition}"""
+  concat(CASE WHEN {shared} THEN 'C' ELSE '{own}' END, CAST(l_linenumber AS STRING)) AS target_column
+FROM {{lineitem}}"""
 
 
 VIEWS = {
@@ -67,8 +60,8 @@ SELECT concat('db', CAST(l_suppkey % 5 AS STRING)) AS target_db,
   CAST(max(l_shipdate) AS DATE) AS processed_date
 FROM {lineitem} WHERE l_quantity < 3 AND l_returnflag = 'R' GROUP BY 1, 2""",
     # --- lineage mappings ---
-    "v_map_a": _mapping("st", "l_discount <= 0.05"),
-    "v_map_b": _mapping(" st", "l_tax <= 0.04"),
+    "v_map_a": _mapping("st", "l_discount <= 0.05", "E"),
+    "v_map_b": _mapping(" st", "l_tax <= 0.04", "D"),
     "v_lineage": f"""
 SELECT {_POS} AS pos,
   concat('C', CAST(l_linenumber AS STRING)) AS source_col,
@@ -83,7 +76,7 @@ FROM {{lineitem}}""",
 SELECT p_partkey AS map_pos, concat(CASE WHEN p_size % 2 = 0 THEN 'ST' ELSE 'TT' END,
     CAST(p_partkey % 650 AS STRING)) AS table_name,
   CASE WHEN p_partkey % 17 = 0 THEN NULL ELSE concat('MDB', CAST(p_size % 9 AS STRING)) END AS database_name
-FROM {part} WHERE p_retailprice < 1500""",
+FROM {part}""",
     "v_catalog": """
 SELECT concat(CASE WHEN l_quantity > 30 THEN 'ST' ELSE 'TT' END, CAST(l_partkey % 640 AS STRING)) AS tablename,
   concat('SDB', CAST(l_suppkey % 5 AS STRING)) AS DatabaseName,
@@ -139,27 +132,28 @@ SELECT l_orderkey, l_linenumber, l_quantity,
 SELECT DISTINCT concat('d', CAST(l_suppkey AS STRING)) AS db, concat('t', CAST(l_partkey AS STRING)) AS tbl
 FROM {lineitem} WHERE l_discount >= 0.08
 UNION SELECT 'nan', concat('t', CAST(p_partkey AS STRING)) FROM {part} WHERE p_size > 25""",
-    # --- scripts: the parts of each script, in order; one order gives a script per 1 000 lines ---
-    "v_parts": f"""
-SELECT concat('s', CAST(l_orderkey AS STRING), '-', CAST({_LOT} AS STRING), '.txt') AS file, l_orderkey,
-  {_LOT} AS lot, {_IN_LOT} AS stmt_no,
+    # --- scripts: an order is a script, its lines are the parts, in order ---
+    "v_ranked": f"""
+SELECT *, CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {_POS}) AS INT) AS rank_no FROM {{lineitem}}""",
+    "v_parts": """
+SELECT concat('s', CAST(l_orderkey AS STRING), '.txt') AS file, l_orderkey, rank_no AS stmt_no,
   CASE WHEN l_quantity < 4 THEN concat(' ', chr(9), chr(10))
        WHEN l_returnflag = 'A' THEN concat(chr(10), 'SELECT c', CAST(l_partkey AS STRING), ' FROM t', CAST(l_suppkey AS STRING), '  ')
        WHEN l_returnflag = 'N' THEN concat(chr(13), chr(10), ' INSERT INTO t', CAST(l_suppkey AS STRING), chr(13), chr(10), 'VALUES (', CAST(l_partkey AS STRING), ')')
        ELSE concat('merge into t', CAST(l_partkey AS STRING), ' using s', CAST(l_suppkey AS STRING),
                    ' on a.id = b.id when matched then set x = 1 and a long rest of the statement that goes past one hundred characters') END AS part
-FROM {{v_ranked}}""",
+FROM {v_ranked}""",
     # --- parser runs: one per order ---
     "v_runs": """
-SELECT concat('s', CAST(o_orderkey AS STRING), '-0.txt') AS file, CAST(o_custkey % 400 AS BIGINT) AS duration,
+SELECT concat('s', CAST(o_orderkey AS STRING), '.txt') AS file, CAST(o_custkey % 400 AS BIGINT) AS duration,
   o_orderstatus = 'F' AS file_ok, o_orderstatus = 'O' AS reparse_ok,
   CASE WHEN o_custkey % 50 = 3 THEN 'boom' ELSE NULL END AS error FROM {orders}""",
     # --- tree lines: one rule per lineitem with two or three children ---
-    "v_lines": f"""
-SELECT concat('s', CAST(l_orderkey AS STRING), '-', CAST({_LOT} AS STRING), '.txt') AS file,
-  l_orderkey % 4 AS layout, {_IN_LOT} AS n, CASE WHEN l_linestatus = 'O' THEN 3 ELSE 5 END AS k,
+    "v_lines": """
+SELECT concat('s', CAST(l_orderkey AS STRING), '.txt') AS file,
+  l_orderkey % 4 AS layout, rank_no AS n, CASE WHEN l_linestatus = 'O' THEN 3 ELSE 5 END AS k,
   CAST(l_partkey AS STRING) AS part_text, CAST(l_suppkey AS STRING) AS supp_text, l_returnflag AS flag_text
-FROM {{v_ranked}}""",
+FROM {v_ranked}""",
 }
 
 
@@ -167,23 +161,15 @@ class Tables:
     """Given tables and stand-ins of one data folder as DataFrames."""
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = tune(spark), folder
+        self.spark, self.folder = ship(tune(spark)), folder
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in GIVEN:
             return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        if name == "v_ranked":
-            lines = self["lineitem"].withColumn("_pos", F.expr(_POS))
-            return number_rows(lines, ["l_orderkey"], "_pos", "rank_no", _POS_BITS).drop("_pos")
         text = VIEWS[name]
         used = {n: self[n] for n in re.findall(r"\{([a-z]\w*)\}", text)}
         return self.spark.sql(text, **used)
 
-    def documents(self) -> DataFrame:
-        """The documents, spread over all cores when they lie in fewer files than that."""
-        df, cores = self["documents"], self.spark.sparkContext.defaultParallelism
-        return df if len(df.inputFiles()) >= cores else df.repartition(cores, "doc_id")
-
     def table_column(self, name: str) -> DataFrame:
         """The stand-in with its `tbl` column under the library's name."""
         return self[name].withColumnRenamed("tbl", "table")
@@ -227,7 +213,12 @@ class Tables:
         tokens = F.concat_ws(",", token("PART", 1, "part_text", 0), token("SUPP", 2, "supp_text", 10))
         rows = self["v_lines"].groupBy("file", "layout").agg(
             F.sort_array(F.collect_list(F.struct("n", line.alias("t"), tokens.alias("k")))).alias("r"))
-        lines, stream = F.array_join("r.t", ","), F.array_join("r.k", ",")
+        lines = F.array_join("r.t", ",")
+        # The end of the file stops where the last token does, and begins where a flag may begin.
+        last = F.element_at("r.n", -1) * 100
+        stream = F.concat_ws(",", F.array_join("r.k", ","), F.to_json(F.struct(
+            (F.size("r") * 2).alias("index"), F.lit(-1).alias("type"), F.lit("EOF").alias("typeName"),
+            F.lit("<EOF>").alias("text"), (last + 20).alias("startIndex"), (last + 19).alias("stopIndex"))))
         root = F.concat(F.lit('{"nodeType":"RuleContext: script","children":['), lines, F.lit("]}"))
         payload = (
             F.when(F.col("layout") == 0, root)
@@ -250,15 +241,13 @@ class Tables:
             (i * 100).alias("startIndex"), (i * 100 + size(w) - 1).alias("stopIndex"),
             (F.floor(i / 10) + 1).alias("line"), (i % 10).alias("column"))
         words = F.transform(F.split("text", " "), token)
-        return self.documents().select(
+        return self["documents"].select(
             F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("file"),
             F.to_json(F.struct(words.alias("tokenStream"))).alias("payload"))
 
 
 # Rows that only the checking engine builds: what the documents above must turn into.
 CHECK_VIEWS = {
-    "v_ranked": f"""
-SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_POS}) AS rank_no FROM {{lineitem}}""",
     "c_lines": """
 SELECT *, CAST(sum(k) OVER (PARTITION BY file ORDER BY n) - k AS BIGINT) AS before_k FROM {v_lines}""",
     "c_nodes": """

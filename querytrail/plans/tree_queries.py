@@ -74,8 +74,7 @@ def child_counts(t):
 
 
 @query("tr3_parent_links", """
-SELECT c.file, c.tree_no, c.node_id, c.node_type, c.parent_id, p.node_type AS parent_type
-FROM {c_nodes} c LEFT JOIN {c_nodes} p ON p.file = c.file AND p.tree_no = c.tree_no AND p.node_id = c.parent_id""")
+SELECT file, tree_no, node_id, node_type, parent_id, parent_type FROM {c_nodes}""")
 def parent_links(t):
     return tr.parents(nodes(t))
 
@@ -85,16 +84,20 @@ SELECT n.file, n.tree_no, n.node_id, c.node_id AS child_id, c.node_type AS child
 FROM {{c_nodes}} n LEFT JOIN ({child}) c ON c.file = n.file AND c.tree_no = n.tree_no AND c.parent_id = n.node_id"""
 
 
-@query("tr4_ith_child", _BELOW.format(child="SELECT * FROM {{c_nodes}} WHERE ordinal = 1").replace("{{", "{").replace("}}", "}"))
+@query("tr4_ith_child", """
+SELECT * FROM (WITH all_nodes AS MATERIALIZED (SELECT * FROM {c_nodes}),
+second AS MATERIALIZED (SELECT file, tree_no, parent_id, node_id, node_type, text FROM all_nodes WHERE ordinal = 1)
+SELECT n.file, n.tree_no, n.node_id, c.node_id AS child_id, c.node_type AS child_type, c.text AS child_text
+FROM all_nodes n LEFT JOIN second c ON c.file = n.file AND c.tree_no = n.tree_no AND c.parent_id = n.node_id) x""")
 def ith_child(t):
-    return tr.ith_child(nodes(t), 1)
+    return tr.ith_child(tr.store_nodes(nodes(t)), 1)
 
 
 @query("tr5_first_named_child", _BELOW.format(child="""
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY file, tree_no, parent_id ORDER BY ordinal) AS r
   FROM {{c_labels}} WHERE rule_name = 'line' OR token_name = 'line') f WHERE r = 1""").replace("{{", "{").replace("}}", "}"))
 def first_named_child(t):
-    return tr.first_child_named(nodes(t), "line")
+    return tr.first_child_named(tr.store_nodes(nodes(t)), "line")
 
 
 @query("tr6_children_of_rule", """

@@ -133,6 +133,26 @@ def test_detailed_form(spark):
     assert (got[10].rule_index, got[10].start_token) == (-1, None)
 
 
+def test_detailed_form_with_end_of_file_and_empty_tokens(spark):
+    tree = rule("file", rule("word", dict(term("W", "ab"), startIndex=0, stopIndex=1)),
+                dict(term("EOF", "<EOF>"), startIndex=2, stopIndex=1))
+    tree.update(startIndex=0, stopIndex=1)
+    tree["children"][0].update(startIndex=0, stopIndex=1)
+    tokens = [("", 0, -1, 5), ("ab", 0, 1, 1), ("", 2, 1, 5), ("<EOF>", 2, 1, -1)]
+    listed = [{"index": i, "type": k, "typeName": "EOF" if k == -1 else "T", "text": t, "startIndex": a, "stopIndex": b}
+              for i, (t, a, b, k) in enumerate(tokens)]
+    d = docs(spark, f={"tokenStream": listed, "parseTree": tree})
+    got = {r.node_id: r for r in tr.detailed(tr.flatten(d), tk.read_tokens(d), ["file"]).collect()}
+    assert len(got) == 4 and tr.detailed(tr.flatten(d), tk.read_tokens(d), []).count() == 4
+    assert got[0].stop_token.text == "<EOF>" and got[1].stop_token.text == "ab"
+    assert (got[3].token_type, got[3].token_index, got[2].token_index) == ("EOF", 3, 0)
+
+
+def test_visitor_also_serves_the_context_name(spark, rows):
+    nodes = tr.flatten(docs(spark, f=rule("itemContext", rule("item"))))
+    assert rows(tr.visited(nodes, ["item"]).select("node_id")) == [(0,)]
+
+
 def test_caller_visitor(spark, rows):
     def leaves(tree: pa.Table) -> pa.Table:
         n = sum(c == 0 for c in tree["child_count"].to_pylist())
