@@ -1,8 +1,8 @@
 """Order-dependent helpers that never put a whole group into one task.
 
-Positions are cut into buckets of 2**bits, so a window runs over (group, bucket) only; bucket
-totals are then added up per group. With unique integer positions a bucket holds at most
-2**bits rows however large its group is.
+Numbering cuts groups by ranges of positions. The neighbour helpers cut positions into buckets of
+2**bits, so a window runs over (group, bucket) only; bucket totals are then added up per group. With
+unique integer positions a bucket holds at most 2**bits rows however large its group is.
 
 Group and bucket travel as one struct: it is never null itself, so null group keys stay a group,
 and window, aggregate and join share one hash partitioning.
@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from querytrail.session import store
+
 BITS = 18
 
 
@@ -24,11 +26,6 @@ def _earlier_buckets():
     return Window.partitionBy("_keys").orderBy("_no").rowsBetween(Window.unboundedPreceding, -1)
 
 
-def _cut(df: DataFrame, keys: list[str], pos: str, bits: int) -> DataFrame:
-    return df.withColumn(
-        "_group", F.struct(F.struct(*keys).alias("keys"), _bucket(pos, bits).alias("no")))
-
-
 def _per_bucket(cut: DataFrame, total: Column) -> DataFrame:
     return cut.groupBy("_group").agg(total.alias("_total")).select(
         F.col("_group").alias("_right"), F.col("_group.keys").alias("_keys"),
@@ -36,16 +33,22 @@ def _per_bucket(cut: DataFrame, total: Column) -> DataFrame:
     )
 
 
-def number_rows(
-    df: DataFrame, keys: list[str], pos: str, out: str, bits: int = BITS
-) -> DataFrame:
-    """1-based number of each row inside its group, in order of the unique integer `pos`."""
-    cut = _cut(df, keys, pos, bits)
-    before = _per_bucket(cut, F.count("*")).select(
+def number_rows(df: DataFrame, keys: list[str], pos: str, out: str) -> DataFrame:
+    """1-based number of each row inside its group, in order of the unique `pos`.
+
+    Rows are dealt by ranges of (group, pos), so a group of any size and spacing is cut into parts of
+    the usual partition size. Parts are numbered by themselves; a running total over the parts of a
+    group, one row each, gives the rest. The input is computed once and stored.
+    """
+    dealt = store(
+        store(df, "to-number").repartitionByRange(*keys, pos)
+        .withColumn("_group", F.struct(F.struct(*keys).alias("keys"), F.spark_partition_id().alias("no"))),
+        "ranges")
+    before = _per_bucket(dealt, F.count("*")).select(
         "_right", F.coalesce(F.sum("_total").over(_earlier_buckets()), F.lit(0)).alias("_before"))
     inside = Window.partitionBy("_group").orderBy(pos)
     return (
-        cut.withColumn("_local", F.row_number().over(inside))
+        dealt.withColumn("_local", F.row_number().over(inside))
         .join(before, F.col("_group") == F.col("_right"))
         .withColumn(out, F.col("_before") + F.col("_local"))
         .select(*df.columns, out)
@@ -64,9 +67,8 @@ def look_around(
     """
     ahead = max([o for o in offsets if o > 0], default=0)
     behind = -min([o for o in offsets if o < 0], default=0)
+    bits = max(bits, max(ahead, behind).bit_length())  # a row looks into the next bucket at most
     width = 1 << bits
-    if max(ahead, behind) > width:
-        raise ValueError("an offset may not exceed the bucket width")
     no = _bucket(pos, bits)
     inside = F.col(pos).cast("long").bitwiseAND(F.lit(width - 1))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from querytrail.functions.dates import WINDOW_DAYS, window_of
-from querytrail.functions.ordered import BITS, number_rows
+from querytrail.functions.ordered import number_rows
 from querytrail.schemas import EXTRACT_COLUMNS, QUERY_KEY
 
 BATCH_SIZE = 100
@@ -69,22 +69,18 @@ def remaining(work: DataFrame, ledger: DataFrame) -> DataFrame:
     return work.join(done, PAIR, "left_anti")
 
 
-def number_batches(
-    work: DataFrame, pos: str, size: int = BATCH_SIZE, bits: int = BITS
-) -> DataFrame:
+def number_batches(work: DataFrame, pos: str, size: int = BATCH_SIZE) -> DataFrame:
     """Batch number of each table inside its database, in order of the list."""
-    numbered = number_rows(work, ["db"], pos, "_number", bits)
+    numbered = number_rows(work, ["db"], pos, "_number")
     return numbered.withColumn(
         "batch_number", F.expr(f"(_number - 1) div {size} + 1")).drop("_number")
 
 
-def pack_batches(
-    work: DataFrame, pos: str, size: int = BATCH_SIZE, bits: int = BITS
-) -> DataFrame:
+def pack_batches(work: DataFrame, pos: str, size: int = BATCH_SIZE) -> DataFrame:
     """(db, batch_number, tables, batch_size); a batch holds at most `size` tables."""
     members = F.sort_array(F.collect_list(F.struct(pos, "table")))
     return (
-        number_batches(work, pos, size, bits).groupBy("db", "batch_number")
+        number_batches(work, pos, size).groupBy("db", "batch_number")
         .agg(members.alias("m"))
         .select("db", "batch_number", F.col("m.table").alias("tables"),
                 F.size("m").alias("batch_size"))

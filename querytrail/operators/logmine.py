@@ -28,8 +28,10 @@ def capture(line: Column, word: str, pattern: str, names: list[str]) -> Column:
     """
     candidate = line.contains("WARNING") & line.contains(word)
     groups = "".join(f"${i + 1}{MARK}" for i in range(len(names)))
-    replaced = F.regexp_replace(line, pattern, groups)
-    return F.when(candidate & replaced.endswith(MARK), replaced)
+    # The pattern takes the whole line, so the mark in front is there exactly if it matched.
+    replaced = F.regexp_replace(line, pattern, MARK + groups)
+    matched = replaced.startswith(MARK) & ~line.startswith(MARK)
+    return F.when(candidate & matched, F.substring(replaced, 2, 1 << 30))
 
 
 def spool_capture(line: Column) -> Column:
@@ -95,14 +97,18 @@ def entries(classified: DataFrame) -> DataFrame:
         "Database", F.explode("tables").alias("Table"), "Start_Date", "End_Date", "Batch")
 
 
-def summary(classified: DataFrame) -> DataFrame:
-    """Per file: processed pairs, table entries, problem lines."""
+def summary(classified: DataFrame, files: DataFrame | None = None) -> DataFrame:
+    """Per file: processed pairs, table entries, problem lines; zeros for `files` without a pair."""
     done = F.col("outcome") == "processed"
-    return classified.groupBy("file").agg(
+    counts = classified.groupBy("file").agg(
         F.count_if(done).alias("processed_pairs"),
         F.coalesce(F.sum(F.when(done, F.size("tables"))), F.lit(0)).alias("table_entries"),
         F.count_if(~done).alias("skipped_lines"),
     )
+    if files is None:
+        return counts
+    return files.select("file").distinct().join(counts, "file", "left").fillna(
+        0, ["processed_pairs", "table_entries", "skipped_lines"])
 
 
 def skipped_tables(lines: DataFrame, bits: int = BITS) -> DataFrame:
@@ -110,7 +116,7 @@ def skipped_tables(lines: DataFrame, bits: int = BITS) -> DataFrame:
 
 
 def mining_summary(lines: DataFrame, bits: int = BITS) -> DataFrame:
-    return summary(classify_pairs(lines, bits))
+    return summary(classify_pairs(lines, bits), lines)
 
 
 def windows_to_repeat(skipped: DataFrame, batches: DataFrame) -> DataFrame:

@@ -14,7 +14,7 @@ from querytrail.functions.ordered import look_around, number_rows, odd_of_runs
 def test_number_rows_crosses_buckets_and_keeps_null_groups(spark):
     random.seed(3)
     data = [(random.choice(["a", "b", None]), p) for p in random.sample(range(-500, 5000), 400)]
-    out = number_rows(spark.createDataFrame(data, "g string, p long"), ["g"], "p", "n", bits=4)
+    out = number_rows(spark.createDataFrame(data, "g string, p long"), ["g"], "p", "n")
     expected = {}
     for g in {x for x, _ in data}:
         for n, p in enumerate(sorted(p for x, p in data if x == g), 1):
@@ -26,10 +26,22 @@ def test_number_rows_with_one_hot_group(spark):
     df = spark.range(5000).select(
         F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("g"),
         F.col("id").alias("p"))
-    out = number_rows(df, ["g"], "p", "n", bits=5).filter("g = 'hot'").orderBy("p").collect()
+    out = number_rows(df, ["g"], "p", "n").filter("g = 'hot'").orderBy("p").collect()
     assert [r.n for r in out] == list(range(1, 1668))
 
 
+def test_number_rows_with_sparse_positions_in_one_group(spark):
+    df = spark.range(4000).select(F.lit("g").alias("g"), (F.col("id") * (1 << 45) - (1 << 50)).alias("p")).repartition(8)
+    out = number_rows(df, ["g"], "p", "n").orderBy("p").collect()
+    assert [r.n for r in out] == list(range(1, 4001))
+
+
+def test_look_around_beyond_a_bucket(spark):
+    df = spark.range(300).select(F.lit("f").alias("f"), F.col("id").alias("pos"))
+    out = look_around(df, ["f"], "pos", {100: [("far", F.col("pos"))]}, bits=3)
+    assert {r.pos: r.far for r in out.collect()} == {i: i + 100 if i < 200 else None for i in range(300)}
+
+
 def test_look_around(spark):
     data = [(f, i, f"{f}{i}") for f in "xy" for i in range(37 if f == "x" else 3)]
     df = spark.createDataFrame(data, "f string, pos int, v string")
