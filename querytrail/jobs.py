@@ -65,6 +65,9 @@ def map_tables(
     """Fill the databases of a lineage file and append newly found tables to the saved map."""
     rows = tables.read_table(spark, lineage, position=POSITION)
     saved = _read_or_empty(spark, table_map, schemas.TABLE_MAP)
+    name = table_map.rstrip("/").rpartition("/")[2]
+    if any(file.rstrip("/").rpartition("/")[2] == name for file in saved.inputFiles()):
+        raise ValueError(f"{table_map} is a file; the saved map grows, so it has to be a folder")
     # The map is appended to below, so its rows of now are stored first.
     saved = store(saved, "saved-map")
     filled, found = databases.resolve_databases(rows, saved, catalog, POSITION, POSITION)
@@ -80,23 +83,27 @@ def extract_statements(
 ) -> DataFrame:
     """One run over the open part of the work list: extract, append, record in the ledger.
 
-    `work` holds (db, table, position). The ledger is written after the extract only, so a run
-    that stops early is simply repeated. Returns row totals per database, batch and window.
+    `work` holds (db, table, position). Each run writes its rows to a part of `target` of its own,
+    numbered by the runs in the ledger, and the ledger last: a run that stopped early leaves the
+    ledger as it was, so the repeated run replaces its part. Returns row totals per database, batch
+    and window.
     """
     done = _read_ledger(spark, ledger)
+    run = done.select("run").distinct().count()
     todo = store(extraction.remaining(work.withColumnRenamed(work.columns[2], POSITION), done), "work")
     batches = extraction.number_batches(todo, POSITION)
     rows = store(
         extraction.extract_work_list(batches, *logs, statements, start, end), "extract")
-    sinks.append_extracts(rows.select(*schemas.EXTRACT_COLUMNS), target)
+    sinks.replace_extracts(rows.select(*schemas.EXTRACT_COLUMNS), f"{target}/run={run}")
     packed = extraction.pack_batches(todo, POSITION)
     outcomes = packed.select("db", "batch_number", F.lit(True).alias("ok"))
-    extraction.append_ledger(extraction.ledger_rows(packed, outcomes, day), ledger)
+    extraction.append_ledger(
+        extraction.ledger_rows(packed, outcomes, day).withColumn("run", F.lit(run).cast("long")), ledger)
     return extraction.row_totals(rows)
 
 
 def _read_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    schema = "target_db string, target_table string, batch_number long, batch_size int, processed_date string"
+    schema = "target_db string, target_table string, batch_number long, batch_size int, processed_date string, run long"
     try:
         return spark.read.schema(schema).parquet(folder)
     except AnalysisException as problem:
@@ -110,7 +117,7 @@ def mine_log(spark: SparkSession, log: str, target: str) -> DataFrame:
     lines = texts.read_log_lines(spark, log)
     found = store(logmine.classify_pairs(lines), "log-pairs")
     sinks.write_table(logmine.entries(found), target)
-    return logmine.summary(found)
+    return logmine.summary(found, lines)
 
 
 def validate_scripts(
@@ -148,9 +155,13 @@ def classify_file(spark: SparkSession, source: str, target: str) -> DataFrame:
 
 
 def ingest_folder(
-    spark: SparkSession, folder: str, target: str, checkpoint: str, max_wait_seconds: int = 600
+    spark: SparkSession, folder: str, target: str, checkpoint: str,
+    max_wait_seconds: int | None = None,
 ) -> DataFrame:
-    """Take in what has landed in a folder since the last call; statistics over all of it."""
+    """Take in what has landed in a folder since the last call; statistics over all of it.
+
+    Waits until all of it is done; with a limit, a TimeoutError is raised when it is reached.
+    """
     landing.drain(
         landing.start_ingest(landing.landing_stream(spark, folder), target, checkpoint),
         max_wait_seconds)

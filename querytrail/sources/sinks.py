@@ -20,17 +20,24 @@ DELIMITED = {
 }
 
 
-def append_extracts(extract: DataFrame, folder: str, file_format: str = "parquet") -> None:
+def append_extracts(
+    extract: DataFrame, folder: str, file_format: str = "parquet", mode: str = "append"
+) -> None:
     """One sub-folder per statement type, appended."""
     writer = (
         extract.withColumn("statement_type", F.trim("StatementType"))
-        .write.mode("append").partitionBy("statement_type")
+        .write.mode(mode).partitionBy("statement_type")
     )
     if file_format == "csv":
         writer = writer.options(**DELIMITED)
     writer.format(file_format).save(folder)
 
 
+def replace_extracts(extract: DataFrame, folder: str) -> None:
+    """The same as the whole content of the folder, which a repeated run replaces."""
+    append_extracts(extract, folder, mode="overwrite")
+
+
 def write_table(df: DataFrame, folder: str) -> None:
     """Delimited text with header; an empty result still leaves a file with the header."""
     df.write.mode("overwrite").options(**DELIMITED).csv(folder)
