@@ -143,8 +143,12 @@ def outcome_summary(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def failed_batches(outcomes: DataFrame) -> DataFrame:
-    return outcomes.filter(~F.col("ok")).drop("ok")
+def failed_batches(outcomes: DataFrame, batches: DataFrame | None = None) -> DataFrame:
+    """Failed batches with whatever the outcomes say of them (statement type, error), and with their
+    tables where the packed batches are given."""
+    failed = outcomes.filter(~F.col("ok")).drop("ok")
+    return failed if batches is None else failed.join(
+        batches.select("db", "batch_number", "tables"), ["db", "batch_number"], "left")
 
 
 def completion(work: DataFrame, ledger: DataFrame, distinct_work: bool = False) -> DataFrame:

@@ -54,14 +54,18 @@ def check_statements(statements: DataFrame, check: Check = is_valid) -> DataFram
     )
 
 
-def script_stats(scripts: DataFrame, check: Check = is_valid) -> DataFrame:
-    """Statement and error numbers per script, computed inside each row."""
+def script_stats(
+    scripts: DataFrame, check: Check = is_valid, time_taken: Column | None = None
+) -> DataFrame:
+    """Statement and error numbers per script, computed inside each row; with the time that checking
+    the script took, where the scripts come with it."""
     parts = F.transform(F.split(clean_line_ends(F.col("script")), ";"), trim_control)
     counted = scripts.withColumn("_s", F.filter(parts, lambda s: s != "")).select(
         F.col("file").alias("file_name"),
         F.size("_s").alias("number_of_queries"),
         F.size(F.filter("_s", lambda s: ~check(s))).alias("queries_with_error"),
         F.size(F.filter("_s", lambda s: check(s).isNull())).alias("corrupted_queries"),
+        *([] if time_taken is None else [time_taken.alias("time_taken")]),
     )
     return counted.withColumn(
         "percentage_of_errors",

@@ -12,6 +12,7 @@ from querytrail.operators import scripts as sc
 from querytrail.operators import usage
 from querytrail.plans.registry import query
 from querytrail.plans.standins import Tables
+from querytrail.schemas import RUN_METRICS
 from querytrail.session import work_folder
 from querytrail.sources import sinks, texts
 
@@ -144,7 +145,9 @@ SELECT regexp_replace(file, '\\.[^.]*$', '') || '_errors' AS file_name, stmt_no,
   '--- INVALID QUERY ---' || chr(10) || stmt || chr(10) || chr(10) || chr(10) || repeat('+ - ', 50) || chr(10) AS entry
 FROM {c_stmts} WHERE NOT ok""")
 def invalid_statement_dump(t):
-    return sinks.invalid_statements(checked(t))
+    folder = work_folder(t.spark, "invalid")
+    sinks.write_invalid_statements(checked(t), folder)
+    return t.spark.read.parquet(folder)
 
 
 @query("sk4_error_list", """
@@ -157,7 +160,9 @@ def error_list(t):
 
 @query("sk5_run_metrics_table", _STATUS + " ORDER BY FileName")
 def run_metrics_table(t):
-    return sinks.run_metrics(statuses(t))
+    folder = work_folder(t.spark, "metrics")
+    sinks.write_run_metrics(statuses(t), folder)
+    return t.spark.read.options(**sinks.DELIMITED).schema(RUN_METRICS).csv(folder)
 
 
 @query("sk6_failure_report", """
@@ -167,6 +172,7 @@ UNION ALL SELECT 2, 0, 'QUERIES THAT TIMED OUT (' || count(*) || '):' FROM {c_st
 UNION ALL SELECT 2, 1, '- ' || file || '_query_' || stmt_no || ': ' || substr(stmt, 1, 100) || '...' FROM {c_stmts} WHERE NOT ok""")
 def failure_report(t):
     files = t["v_runs"].filter("not file_ok").select("file")
+    # Statements may hold line ends, so the written report can't be told apart line by line again.
     return sinks.failure_report(files, sc.failed_statements(checked(t)).select("label"))
 
 

@@ -181,7 +181,9 @@ def combined_trees(t):
 @query("sk7_tree_export", """
 SELECT replace(file, '.txt', '.json') AS file_name, count(*) AS nodes FROM {c_nodes} GROUP BY 1""")
 def tree_export(t):
-    out = sinks.tree_documents(t.tree_documents())
+    folder = work_folder(t.spark, "trees")
+    sinks.write_trees(t.tree_documents(), folder)
+    out = t.spark.read.parquet(folder)
     return tr.flatten(out.withColumnsRenamed({"file_name": "file", "value": "payload"})).groupBy(
         F.col("file").alias("file_name")).agg(F.count("*").alias("nodes"))
 

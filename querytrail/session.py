@@ -5,6 +5,8 @@ from __future__ import annotations
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import pyarrow as pa
@@ -73,7 +75,32 @@ def work_folder(spark: SparkSession, purpose: str) -> str:
             current = tempfile.mkdtemp(prefix="querytrail-")
             spark.sparkContext.setCheckpointDir(current)
         base = current
-    return f"{base.rstrip('/')}/querytrail-{purpose}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/querytrail-{purpose}-{uuid.uuid4().hex}"
+    for made in _OPEN:
+        made.append(path)
+    return path
+
+
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def cleaned_up(spark: SparkSession) -> Iterator[None]:
+    """Remove on leaving what was stored in the shared folder meanwhile.
+
+    Results that are read lazily have to be written before the end:
+    `with cleaned_up(spark): jobs.mine_log(...).write.parquet(...)`.
+    """
+    made: list[str] = []
+    _OPEN.append(made)
+    try:
+        yield
+    finally:
+        _OPEN.remove(made)
+        hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+        for path in made:
+            at = hadoop(path)
+            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def local_frame(spark: SparkSession, columns: dict[str, list]) -> DataFrame:

@@ -58,14 +58,17 @@ def invalid_statements(checked: DataFrame) -> DataFrame:
     )
 
 
-def write_invalid_statements(checked: DataFrame, folder: str) -> None:
+def write_invalid_statements(checked: DataFrame, folder: str, per_file: bool = False) -> None:
+    """The dump as one table, sorted by file and number; with `per_file` a text folder per script,
+    which suits few scripts only."""
     dump = invalid_statements(checked)
     # Range partitioning by (file, number) keeps a script in order and splits a huge one.
-    (
-        dump.repartitionByRange("file_name", "stmt_no").sortWithinPartitions("file_name", "stmt_no")
-        .select("file_name", F.col("entry").alias("value"))
-        .write.mode("overwrite").partitionBy("file_name").text(folder)
-    )
+    placed = dump.repartitionByRange("file_name", "stmt_no").sortWithinPartitions("file_name", "stmt_no")
+    if not per_file:
+        placed.write.mode("overwrite").parquet(folder)
+        return
+    placed.select("file_name", F.col("entry").alias("value")).write.mode("overwrite").partitionBy(
+        "file_name").text(folder)
 
 
 def error_list(checked: DataFrame) -> DataFrame:
@@ -122,6 +125,12 @@ def tree_documents(documents: DataFrame) -> DataFrame:
     )
 
 
-def write_trees(documents: DataFrame, folder: str) -> None:
-    """One sub-folder per script with its JSON document."""
-    tree_documents(documents).write.mode("overwrite").partitionBy("file_name").text(folder)
+def write_trees(documents: DataFrame, folder: str, per_file: bool = False) -> None:
+    """The documents as one table, sorted by file name; with `per_file` a folder per script, which
+    suits few scripts only."""
+    named = tree_documents(documents)
+    if per_file:
+        named.write.mode("overwrite").partitionBy("file_name").text(folder)
+    else:
+        named.repartitionByRange("file_name").sortWithinPartitions("file_name").write.mode(
+            "overwrite").parquet(folder)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from querytrail.schemas import FILE_METADATA
+from querytrail.session import store
 
 # Depth of nested JSON is a matter of the data here: one tree level takes two JSON levels.
 DEEP_JSON = {"maxNestingDepth": "1000000", "maxStringLen": "2000000000"}
@@ -47,6 +48,8 @@ def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
         .withColumn("skip", F.coalesce(F.sum("n").over(before), F.lit(0)))
         .select("file", "block", "first", "skip")
     )
+    # Stored, the one row per split has a known size, so the lines themselves need not be shuffled.
+    blocks = store(blocks, "log-splits")
     return raw.join(blocks, ["file", "block"]).select(
         "file", (F.col("skip") + F.col("seq") - F.col("first") + 1).alias("line_no"), "line"
     )

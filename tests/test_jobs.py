@@ -107,3 +107,28 @@ def test_levels_with_a_callback(spark):
     work = spark.createDataFrame([("d", "a")], "db string, `table` string")
     got = jobs.run_levels(work, lambda now: links.join(now, ["db", "table"], "left_semi"), 9)
     assert sorted((r.level, r.table) for r in got.collect()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_stored_tables_are_removed_at_the_end(spark, tmp_path):
+    from querytrail.session import cleaned_up, store
+
+    before = spark.conf.get("spark.checkpoint.dir")
+    with cleaned_up(spark):
+        kept = store(spark.range(3), "scratch")
+        path = kept.inputFiles()[0].rpartition("/")[0]
+        kept.write.parquet(str(tmp_path / "out"))
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 3 and before
+    import os
+
+    assert not os.path.exists(path.removeprefix("file://"))
+
+
+def test_map_tables_refuses_a_single_file(spark, put, tmp_path):
+    import pytest
+
+    a = put("a.csv", "source_col,source_table,target_table,target_col,source_db,target_db,Derivation_logic\nc,s1,t1,c,,A,x\n")
+    saved = put("map.csv", "table_name,database_name\ns1,K\n")
+    catalog = spark.createDataFrame([], "tablename string, DatabaseName string, LastAccessTimeStamp int")
+    with pytest.raises(ValueError):
+        jobs.map_tables(spark, a, str(tmp_path / "out"), saved, catalog)
+    assert not (tmp_path / "out").exists()

@@ -232,6 +232,6 @@ def test_append_extracts_by_type(spark, tmp_path):
 
 def test_trees_are_written_per_script(spark, tmp_path):
     d = spark.createDataFrame([("a.txt", '{"nodeType": "x"}')], "file string, payload string")
-    sinks.write_trees(d, str(tmp_path / "t"))
+    sinks.write_trees(d, str(tmp_path / "t"), per_file=True)
     files = list((tmp_path / "t").glob("file_name=a.json/part*"))
     assert [f.read_text().strip() for f in files] == ['{"nodeType": "x"}']

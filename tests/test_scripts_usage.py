@@ -70,7 +70,7 @@ def test_status(spark):
 
 def test_invalid_dump_text(spark, tmp_path):
     df = sc.check_statements(sc.split_statements(script(spark, a="bad one;SELECT 1;bad two", b="SELECT 1")))
-    sinks.write_invalid_statements(df, str(tmp_path / "dump"))
+    sinks.write_invalid_statements(df, str(tmp_path / "dump"), per_file=True)
     parts = sorted((tmp_path / "dump").glob("file_name=*/*.txt"))
     assert {p.parent.name for p in parts} == {"file_name=a_errors"}
     text = "".join(p.read_text() for p in parts)
