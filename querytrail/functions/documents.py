@@ -1,5 +1,6 @@
-"""Reading JSON documents inside tasks: trees of any depth, and the shape of landing files.
+"""Reading JSON documents inside tasks: deep trees, and the shape of landing files.
 
+Documents that nest deeper than Python's reader allows (about 10 000 levels) become error rows.
 Trees are recursive and nest deeper than Spark's own JSON readers allow, so documents are read
 batch-wise in Python with an explicit stack. Everything after that is relational.
 """
@@ -87,7 +88,9 @@ def node_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 SHAPE = "struct<valid: boolean, record_count: bigint, has_data_field: boolean, error: string>"
 
 
-def _shape(payload: str) -> tuple:
+def _shape(payload: str | None) -> tuple:
+    if payload is None:
+        return None, None, None, None
     try:
         value = json.loads(payload)
     except Exception as problem:  # noqa: BLE001
