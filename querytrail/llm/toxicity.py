@@ -1,8 +1,8 @@
 """Expected severity of toxic language from a cumulative-link ordinal regression.
 
 Grades come from the labels: 0 for rows not marked toxic; marked rows are split at the terciles of
-the share of their distinct words that is typical of marked texts, into grades 1 to 3. The model
-has one weight per word, shared by all thresholds, and ordered thresholds t1 < t2 < t3:
+the number of features typical of marked texts that they have, into grades 1 to 3. The model
+has one weight per feature (a word, or the first letters of a word), shared by all thresholds, and ordered thresholds t1 < t2 < t3:
 P(grade >= k) = sigmoid(x.w - t_k). Expected severity is the sum of the three probabilities.
 """
 
@@ -17,42 +17,44 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from querytrail.session import store
+from querytrail.session import ship, store
 
 _LETTERS = re.compile(r"[^\W\d_]+")
+STEMS = (4, 5)
+#: Labels up to this number are broadcast (16 bytes each); more are joined by shuffle.
+BROADCAST_LABELS = 2_000_000
 
 
-def words_of(text: str) -> set[str]:
-    """Distinct lower-case runs of letters."""
-    return set(_LETTERS.findall(text.lower()))
+def features_of(text: str) -> set[str]:
+    """Distinct lower-case runs of letters, and the first letters of the longer ones, marked `^`."""
+    words = set(_LETTERS.findall(text.lower()))
+    return words.union(*({"^" + w[:n] for w in words if len(w) > n} for n in STEMS))
 
 
-def _words(docs: DataFrame) -> DataFrame:
-    """(id, words) of (id, text): the distinct words."""
+def _features(labelled: DataFrame) -> DataFrame:
+    """(marked, feature): the distinct features of each row, and the empty one once."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [words_of(t.as_py() or "") for t in batch.column(1)]
-            lists = [list(w) for w in found]
+            found = [["", *features_of(t.as_py() or "")] for t in batch.column(0)]
+            lists = pa.array(found, pa.list_(pa.string()))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(lists, pa.list_(pa.string()))], names=["id", "words"])
+                [batch.column(1).take(lists.value_parent_indices()), lists.flatten()],
+                names=["marked", "feature"])
 
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, words array<string>")
+    return labelled.select("text", "marked").mapInArrow(run, "marked int, feature string")
 
 
-def _held(rows: DataFrame, keep: frozenset[str]) -> DataFrame:
-    """(id, marked, n, held): how many words a row has, and those of `keep` among them."""
+def _held(labelled: DataFrame, keep: frozenset[str]) -> DataFrame:
+    """(marked, held): the features of `keep` that a row has."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column(2).to_pylist()
+            found = [features_of(t.as_py() or "") for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(map(len, words), pa.int64()),
-                 pa.array([sorted(keep.intersection(w)) for w in words], pa.list_(pa.string()))],
-                names=["id", "marked", "n", "held"])
+                [batch.column(1), pa.array([sorted(keep & f) for f in found], pa.list_(pa.string()))],
+                names=["marked", "held"])
 
-    kind = rows.schema["id"].dataType.simpleString()
-    return rows.select("id", "marked", "words").mapInArrow(
-        run, f"id {kind}, marked int, n long, held array<string>")
+    return labelled.select("text", "marked").mapInArrow(
+        run, "marked int, held array<string>")
 
 
 @dataclass
@@ -70,39 +72,38 @@ class Model:
 
 
 def typical_words(
-    labelled: DataFrame, label: Column, min_rows: int, max_words: int, min_z: float
-) -> dict[str, float]:
-    """Words whose rows are marked far more, or far less, often than the rest, with their z value.
+    labelled: DataFrame, min_rows: int, max_words: int, min_z: float
+) -> tuple[int, dict[str, float]]:
+    """Number of labelled rows, and the features whose rows are marked far more, or far less, often
+    than the rest, with their z value.
 
-    Counts cover every labelled row. One row per word is shuffled from each task; at most
+    Counts cover every labelled row. One row per feature is shuffled from each task; at most
     `max_words` rows reach the driver.
     """
-    rows = labelled.select(label.alias("marked"), "words")
-    total = rows.agg(F.count("*"), F.sum("marked")).first()
-    if not total[0] or not total[1] or total[1] == total[0]:
-        return {}
-    rate = total[1] / total[0]
-    counts = (
-        rows.select("marked", F.explode("words").alias("word")).groupBy("word")
-        .agg(F.count("*").alias("n"), F.sum("marked").alias("k")).filter(F.col("n") >= min_rows)
-    )
+    counts = store(
+        _features(labelled).groupBy("feature").agg(F.count("*").alias("n"), F.sum("marked").alias("k"))
+        .filter(F.col("n") >= min_rows), "feature-counts")
+    total = counts.filter("feature = ''").first()
+    if total is None or total.k in (0, total.n):
+        return 0, {}
+    rate = total.k / total.n
     z = (F.col("k") - rate * F.col("n")) / F.sqrt(rate * (1 - rate) * F.col("n"))
-    best = counts.select("word", z.alias("z")).filter(F.abs("z") >= min_z).orderBy(
-        F.abs("z").desc(), "word").limit(max_words)
-    return {word: value for word, value in best.collect()}
+    best = counts.filter("feature <> ''").select("feature", z.alias("z")).filter(
+        F.abs("z") >= min_z).orderBy(F.abs("z").desc(), "feature").limit(max_words)
+    return total.n, {feature: value for feature, value in best.collect()}
 
 
-def grades(shares: np.ndarray, marked: np.ndarray) -> np.ndarray:
-    """0 for unmarked rows, 1 to 3 by tercile of the share for marked ones."""
-    grade = np.zeros(len(shares), np.int64)
+def grades(counts: np.ndarray, marked: np.ndarray) -> np.ndarray:
+    """0 for unmarked rows, 1 to 3 by tercile of the count for marked ones."""
+    grade = np.zeros(len(counts), np.int64)
     if marked.any():
-        cuts = np.quantile(shares[marked], [1 / 3, 2 / 3])
-        grade[marked] = 1 + (shares[marked][:, None] > cuts[None, :]).sum(axis=1)
+        cuts = np.quantile(counts[marked], [1 / 3, 2 / 3])
+        grade[marked] = 1 + (counts[marked][:, None] > cuts[None, :]).sum(axis=1)
     return grade
 
 
 def fit_ordinal(
-    rows: list[np.ndarray], grade: np.ndarray, n_words: int, ridge: float = 1.0, steps: int = 400
+    rows: list[np.ndarray], grade: np.ndarray, n_words: int, ridge: float = 0.05, steps: int = 600
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and thresholds that maximise the penalised cumulative-logit likelihood.
 
@@ -145,37 +146,36 @@ def fit_ordinal(
 def train(
     docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     label_column: str = "toxic", max_rows: int = 20000, max_words: int = 4096, min_rows: int = 5,
-    min_z: float = 6.0,
+    min_z: float = 5.0,
 ) -> Model:
     """Model from the labelled rows.
 
     Word statistics cover all labelled rows. The regression is fitted on at most `max_rows` of them,
-    picked by a hash of the id; only their selected words reach the driver, at most `max_words` a row. Rows without a label, and labels without a row, are ignored; where no
-    word or no marked row is found the model gives severity 0 to every text.
+    picked by a hash of the id; only their selected features reach the driver, at most `max_words` a
+    row. Rows without a label, and labels without a row, are ignored; where no feature or no marked
+    row is found the model gives severity 0 to every text.
     """
-    marks = labels.select(F.col(id_column).alias("_id"), F.col(label_column).cast("int").alias("marked"))
-    marks = marks.filter("_id is not null and marked is not null").groupBy("_id").agg(
-        F.max("marked").alias("marked"))
-    rows = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
-    labelled = store(_words(rows.join(marks, F.col("id") == F.col("_id"), "left_semi"))
-                     .join(marks, F.col("id") == F.col("_id")).select("id", "words", "marked"), "labelled")
-    typical = typical_words(labelled, F.col("marked"), min_rows, max_words, min_z)
+    ship(docs.sparkSession)
+    marks = store(
+        labels.select(F.col(id_column).alias("_id"), F.col(label_column).cast("int").alias("marked"))
+        .filter("_id is not null and marked is not null").groupBy("_id").agg(
+            F.max("marked").alias("marked")), "labels")
+    marks = F.broadcast(marks) if marks.count() <= BROADCAST_LABELS else marks
+    labelled = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(
+        marks, F.col("id") == F.col("_id"))
+    total, typical = typical_words(labelled, min_rows, max_words, min_z)
     if not typical:
         return Model()
     names = sorted(typical)
     number = {w: i for i, w in enumerate(names)}
-    total = labelled.count()
     share = min(1.0, 0.9 * max_rows / total)
-    sample = labelled.filter(
-        F.pmod(F.xxhash64("id"), F.lit(1 << 32)) < int(share * (1 << 32)))
+    sample = labelled.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 32)) < int(share * (1 << 32)))
     picked = _held(sample, frozenset(names)).limit(max_rows).collect()
     marked = np.array([r.marked == 1 for r in picked])
     indexes = [np.array([number[w] for w in r.held], np.int64) for r in picked]
     typical_of_marked = {number[w] for w, z in typical.items() if z > 0}
-    share = np.array([
-        sum(i in typical_of_marked for i in ix.tolist()) / max(r.n, 1)
-        for ix, r in zip(indexes, picked, strict=True)])
-    weights, thresholds = fit_ordinal(indexes, grades(share, marked), len(names))
+    counts = np.array([sum(i in typical_of_marked for i in ix.tolist()) for ix in indexes])
+    weights, thresholds = fit_ordinal(indexes, grades(counts, marked), len(names))
     return Model(names, weights, thresholds)
 
 
@@ -190,12 +190,13 @@ def score(
     no words and the model's base severity. Whole texts count; repeated rows and null ids keep
     their rows; other columns are left behind.
     """
+    ship(docs.sparkSession)
     number = {w: i for i, w in enumerate(model.words)}
     known = frozenset(model.words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            held = [words_of(t.as_py() or "") & known for t in batch.column(1)]
+            held = [features_of(t.as_py() or "") & known for t in batch.column(1)]
             total = np.array([sum(model.weights[number[w]] for w in sorted(h)) for h in held], np.float64)
             p = model.probabilities(total)
             yield pa.RecordBatch.from_arrays(

@@ -208,15 +208,16 @@ def test_mixing_meets_its_targets(spark, docs, none):
 
 
 def test_toxicity_edges_and_held_out_accuracy(spark, docs, none):
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     table = spark.read.parquet(f"{folder}/documents.parquet")
     labels = spark.read.parquet(f"{folder}/labels.parquet")
-    model = toxicity.train(table, labels.filter("doc_id % 3 <> 0"), min_z=4.0, min_rows=3)
+    model = toxicity.train(table, labels.filter("doc_id % 3 <> 0"))
     assert list(model.thresholds) == sorted(model.thresholds)
-    held = [(r.doc_id, r.toxic) for r in toxicity.score(table, model).collect()]
     marks = {r.doc_id: r.toxic for r in labels.collect() if r.doc_id % 3 == 0}
-    right = [said == (marks[d] == 1) for d, said in held if d in marks]
-    assert np.mean(right) > 0.95
+    held = {r.doc_id: r.toxic for r in toxicity.score(table, model).collect() if r.doc_id in marks}
+    found = [held[d] for d, m in marks.items() if m == 1]
+    wrong = [held[d] for d, m in marks.items() if m == 0]
+    assert np.mean(found) > 0.85 and np.mean(wrong) < 0.01
     rows = toxicity.score(docs.withColumn("id", F.lit(1)), model).collect()
     assert len(rows) == len(ROWS) and {r.severity for r in rows if r.doc_id in (3, 4, 5)} == {
         next(r.severity for r in rows if r.doc_id == 3)}
