@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from querytrail.session import ship
+
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 # Strings that chat models read as control, besides the three above.
 FOREIGN = ("<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>",
@@ -103,6 +105,7 @@ def format_conversations(
     PART_ROWS turns or PART_BYTES gives several parts, numbered from 0, whose texts follow each
     other, so no conversation has to fit in memory.
     """
+    ship(turns.sparkSession)
     kind = turns.schema[conversation].dataType.simpleString()
     ordered = (
         turns.select(F.col(conversation).alias("conversation"), F.col(turn).alias("turn"),
@@ -171,6 +174,7 @@ def read_back(formatted: DataFrame, conversation: str = "conv_id") -> DataFrame:
 
     Expects the parts of a conversation next to each other and in order, as the operator gives them.
     """
+    ship(formatted.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current: list | None = None
 

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from querytrail.llm.graph import components
-from querytrail.session import store
+from querytrail.session import ship, store
 
 
 class Graph:
@@ -217,6 +217,7 @@ def link_vectors(
     graph, so every pair of shards meets once. Tasks give one row per vector, never pairs.
     Memory: one shard and one block.
     """
+    ship(vectors.sparkSession)
     usable = _classes(vectors, id_column, vector_column, label_column)
     classes = store(
         usable.groupBy("label", "embedding").agg(
