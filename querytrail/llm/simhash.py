@@ -192,31 +192,43 @@ def wide_simhash(text: bytes, size: int = 5) -> tuple[int, np.ndarray]:
 def wide_fingerprints(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5
 ) -> DataFrame:
-    """(id, n, prints, keys): shingles, the fingerprint, and its byte positions as index keys.
-
-    A key is KEY_BYTES neighbouring bytes with their position; a fingerprint has one per position.
-    """
+    """(id, n, prints): number of shingles, and the fingerprint as LONGS numbers."""
     ship(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sizes, prints, keys = [], [], []
+            sizes, prints = [], []
             for text in batch.column(1).cast(pa.binary()):
                 n, held = wide_simhash(text.as_py() or b"", size)
                 sizes.append(n)
                 prints.append(held.view("<i8"))
-                wide = held.astype(np.int32)
-                places = len(wide) - KEY_BYTES + 1
-                key = np.arange(places, dtype=np.int32)
-                for i in range(KEY_BYTES):
-                    key = key << 8 | wide[i:i + places]
-                keys.append(key)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.list_(pa.int64())),
-                 pa.array(keys, pa.list_(pa.int32()))], names=["id", "n", "prints", "keys"])
+                [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.list_(pa.int64()))],
+                names=["id", "n", "prints"])
 
     kind = docs.schema[id_column].dataType.simpleString()
     return docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).mapInArrow(
-        run, f"id {kind}, n long, prints array<long>, keys array<int>")
+        run, f"id {kind}, n long, prints array<long>")
+
+
+def _wide_postings(nodes: DataFrame) -> DataFrame:
+    """(key, node): the inverted index. A key is KEY_BYTES neighbouring bytes with their position; a
+    fingerprint has one per position."""
+    places = 8 * LONGS - KEY_BYTES + 1
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 4096):
+                part = batch.slice(at, 4096)
+                prints = part.column(1).flatten().to_numpy(zero_copy_only=False).astype("<i8")
+                wide = prints.view(np.uint8).reshape(-1, 8 * LONGS).astype(np.int32)
+                key = np.broadcast_to(np.arange(places, dtype=np.int32), (len(wide), places))
+                for i in range(KEY_BYTES):
+                    key = key << 8 | wide[:, i:i + places]
+                node = np.repeat(part.column(0).to_numpy(), places)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.ravel()), pa.array(node)], names=["key", "node"])
+
+    return nodes.select("node", "prints").mapInArrow(run, "key int, node long")
 
 
 def bits_at(similarity: float, slack: float = 1.0) -> int:
@@ -244,15 +256,20 @@ def _pair(a: Column, b: Column) -> Column:
     return F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
 
 
-def _met_leaders(postings: DataFrame) -> DataFrame:
-    """Distinct pairs of each member of a posting with two members drawn by hash, other ones per key."""
-    drawn = F.struct(F.xxhash64("node", "key"), "node")
+def _led(postings: DataFrame) -> DataFrame:
+    """(key, node, low, high): the postings that more than one node shares, stored, with two of their
+    members drawn by hash, other ones per key."""
+    drawn = F.struct(F.xxhash64("node", "key").alias("drawn"), "node")
     leaders = store(
-        postings.groupBy("key").agg(
-            F.count("*").alias("size"), F.min(drawn).alias("low"), F.max(drawn).alias("high"))
-        .filter("size > 1").select("key", F.col("low.node").alias("low"), F.col("high.node").alias("high")),
-        "leaders")
-    met = postings.join(leaders, "key").select(F.explode(F.array(
+        postings.groupBy("key").agg(F.min(drawn).alias("low"), F.max(drawn).alias("high"))
+        .filter("low.node <> high.node")
+        .select("key", F.col("low.node").alias("low"), F.col("high.node").alias("high")), "leaders")
+    return store(postings.join(leaders, "key"), "shared-postings")
+
+
+def _met_leaders(led: DataFrame) -> DataFrame:
+    """Distinct pairs of each member of a posting with the two that were drawn."""
+    met = led.select(F.explode(F.array(
         _pair(F.col("node"), F.col("low")), _pair(F.col("node"), F.col("high")))).alias("p"))
     return met.filter("p.a <> p.b").select("p.a", "p.b").distinct()
 
@@ -266,7 +283,8 @@ def _met_in_short(postings: DataFrame) -> DataFrame:
     short = sized.filter(F.col("size") <= LONG_POSTING)
     pairs = short.select("key", F.col("node").alias("a")).join(
         short.select("key", F.col("node").alias("b")), "key").filter("a < b").select("a", "b")
-    return pairs.union(_met_leaders(sized.filter(F.col("size") > LONG_POSTING).select("key", "node"))).distinct()
+    long = sized.filter(F.col("size") > LONG_POSTING).select("key", "node")
+    return pairs.union(_met_leaders(_led(long))).distinct()
 
 
 def _node_key() -> Column:
@@ -295,14 +313,14 @@ def similar_texts(
         "node", _node_key()), "wide-fingerprints")
     nodes = store(
         prints.groupBy("node").agg(
-            F.min("n").alias("n"), F.min("id").alias("first_id"), F.first("prints").alias("prints"),
-            F.first("keys").alias("keys")), "wide-nodes")
-    postings = nodes.select("node", F.explode_outer("keys").alias("key"))
-    first = store(_verified(_met_leaders(postings), nodes, similarity), "first-links")
+            F.min("n").alias("n"), F.min("id").alias("first_id"), F.first("prints").alias("prints")),
+        "wide-nodes")
+    shared = _led(_wide_postings(nodes))
+    first = store(_verified(_met_leaders(shared), nodes, similarity), "first-links")
     group = components(first)
-    labelled = nodes.select("node", "keys").join(
+    labelled = shared.select("key", "node").join(
         group.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
-        "node", F.coalesce("component", "node").alias("component"), F.explode_outer("keys").alias("key"))
+        "key", "node", F.coalesce("component", "node").alias("component"))
     one_each = labelled.groupBy("key", "component").agg(
         F.min(F.struct(F.xxhash64("node", "key"), "node")).alias("m")).select("key", F.col("m.node").alias("node"))
     second = _verified(_met_in_short(one_each), nodes, similarity)
