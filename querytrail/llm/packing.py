@@ -8,6 +8,7 @@ Every piece then finds its place by its rank among the pieces of its length.
 
 from __future__ import annotations
 
+import re
 import zlib
 from bisect import bisect_left, insort
 from collections import Counter, defaultdict
@@ -20,28 +21,65 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from querytrail.session import store
+from querytrail.session import ship, store
 
 Pattern = tuple[tuple[int, ...], int]
-#: Words held per worker; when full the table starts anew, which changes speed only.
-CACHED_WORDS = 1 << 19
+#: Words, and their letters alone, held per worker; a full table starts anew, which changes speed only.
+CACHED_WORDS, CACHED_STEMS = 1 << 18, 1 << 20
 _SPLITTERS = "\x1c\x1d\x1e\x1f"  # white space to Python, but not to the tokenizer
+#: Letters that lower case and composition treat one by one, then any ASCII punctuation.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+
+
+def _byte_letters() -> list[str]:
+    """The character that byte-level vocabularies write for each byte: printable ones stand for
+    themselves, the others for characters from 256 on, in order."""
+    printable = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b if b in printable else next(others)) for b in range(256)]
+
+
+class _Stems(dict):
+    """Ids of runs of lower-case letters or of punctuation, straight from the vocabulary's merges."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.letters = model, _byte_letters()
+
+    def __missing__(self, stem: str) -> bytes:
+        written = stem if stem.isascii() else "".join(self.letters[b] for b in stem.encode())
+        ids = np.array([t.id for t in self.model.tokenize(written)], "<u4").tobytes()
+        if len(self) >= CACHED_STEMS:
+            self.clear()
+        self[stem] = ids
+        return ids
 
 
 class _Words(dict):
-    """Token ids of a word as bytes, computed when first asked for."""
+    """Token ids of a word as bytes, computed when first asked for.
+
+    Letters followed by punctuation are two separate pieces to the tokenizer, lower-cased one by one,
+    so their ids are looked up apart; every other word goes through the tokenizer as a whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
+        self.stems = _Stems(self.tokenizer.model)
 
     def encode(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def __missing__(self, word: str) -> bytes:
-        ids = self.encode(word)
+        plain = _PLAIN.fullmatch(word)
+        if plain is None:
+            ids = self.encode(word)
+        else:
+            ids = self.stems[plain[1].lower()]
+            if plain[2]:
+                ids += self.stems[plain[2]]
         if len(word) <= 64:
             if len(self) >= CACHED_WORDS:
                 self.clear()
@@ -70,6 +108,7 @@ def pieces(
     `rank` counts the pieces of one length within the task `part`. A null text is an empty one: a
     single id 0. Store the result before using the ranks.
     """
+    ship(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from querytrail.llm import packing
 
