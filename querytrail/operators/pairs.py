@@ -10,8 +10,6 @@ from pyspark.sql import functions as F
 
 from querytrail.session import local_frame
 
-# A literal OR chain stays cheap up to about this many pairs; longer lists go through the join.
-MAX_LITERAL_PAIRS = 100
 NULL_TEXT = "nan"
 
 
@@ -55,11 +53,16 @@ def any_pair(pairs: list[tuple[str, str]], db: str, table: str) -> Column:
 
 
 def filter_pairs(
-    df: DataFrame, pairs: list[tuple[str, str]], db: str = "db", table: str = "table"
+    df: DataFrame, pairs: list[tuple[str, str]], db: str = "db", table: str = "table",
+    max_literals: int = 100,
 ) -> DataFrame:
-    """Pair filter as a predicate that reaches the scan; null never matches."""
+    """Pair filter; null never matches.
+
+    Up to `max_literals` pairs are a predicate that reaches the scan; a longer list is joined, with
+    the same rows.
+    """
     _need(df, db, table)
-    if len(pairs) <= MAX_LITERAL_PAIRS:
+    if len(pairs) <= max_literals:
         return df.filter(any_pair(pairs, db, table))
     wanted = pair_frame(df.sparkSession, pairs).toDF("_db", "_table")
     match = (F.col(f"`{db}`") == F.col("_db")) & (F.col(f"`{table}`") == F.col("_table"))

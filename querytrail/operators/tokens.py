@@ -37,6 +37,22 @@ def read_tokens(documents: DataFrame) -> DataFrame:
     )
 
 
+def rejected_token_lists(documents: DataFrame) -> DataFrame:
+    """(file, reason) of documents whose token list is lost: broken text, or a list of another shape.
+
+    Documents without a token list are none of these.
+    """
+    layout = T.StructType([T.StructField("tokenStream", T.ArrayType(TOKEN))])
+    loose = T.StructType([T.StructField("tokenStream", T.StringType())])
+    read = documents.select(
+        "file", F.from_json("payload", layout, DEEP_JSON)["tokenStream"].alias("t"),
+        F.from_json("payload", loose, DEEP_JSON)["tokenStream"].alias("s"),
+        F.try_parse_json("payload").isNull().alias("broken"))
+    shape = F.col("s").isNotNull() & F.col("t").isNull()
+    return read.filter(shape | F.col("broken")).select(
+        "file", F.when(F.col("broken"), "not readable").otherwise("token list of another shape").alias("reason"))
+
+
 def in_positions(
     tokens: DataFrame, start: int | None = None, stop: int | None = None,
     types: list[int] | None = None,

@@ -12,6 +12,7 @@ ACTIVE = "Active Table"
 ISOLATED = "Isolated Drop/Rename"
 TEMPORARY = "Temporary"
 
+# Texts that mark statements, in any case.
 CREATE = "Create "
 CHANGE = "Drop|Rename"
 

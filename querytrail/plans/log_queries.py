@@ -91,7 +91,7 @@ def distinct_extract_rows(t):
 SELECT o_orderkey, CAST(w + 1 AS INT) AS window_no, strftime(d0 + CAST(w * 30 AS INT), '%Y-%m-%d') AS window_start,
   strftime(least(d0 + CAST(w * 30 + 29 AS INT), d1), '%Y-%m-%d') AS window_end
 FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d0, CAST(max(l_shipdate) AS DATE) AS d1,
-    unnest(range(0, 200)) AS w FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey GROUP BY 1, 2) t
+    unnest(range(0, CAST(CAST(max(l_shipdate) AS DATE) - CAST(o_orderdate AS DATE) AS BIGINT) // 30 + 1)) AS w FROM {orders} JOIN {lineitem} ON o_orderkey = l_orderkey GROUP BY 1, 2) t
 WHERE d0 + CAST(w * 30 AS INT) < d1""")
 def calendar_windows(t):
     spans = t["orders"].join(t["lineitem"], F.col("o_orderkey") == F.col("l_orderkey")).groupBy(
@@ -244,12 +244,12 @@ def append_extract_sink(t):
 
 # --- log mining ----------------------------------------------------------------------------
 
+# The two log messages.
 _SPOOL = r"WARNING.*Spool\s+error\s+for\s+(\w+)\s+tables\s+(\[[^\]]*\])"
 _SKIP = (
-    r"WARNING.*Skipping\s+date\s+range\s+(\d{{4}}-\d{{2}}-\d{{2}})\s*(?:->|→)\s*(\d{{4}}-\d{{2}}-\d{{2}})"
+    r"WARNING.*Skipping\s+date\s+range\s+(\d{4}-\d{2}-\d{2})\s*(?:->|→)\s*(\d{4}-\d{2}-\d{2})"
     r"\s+for\s+(\w+)\s+[Bb]atch\s+(\d+)\s+due\s+to\s+error"
 )
-_SKIP = _SKIP.replace("{{", "{").replace("}}", "}")
 
 _PAIRED = rf"""
 SELECT *, db = skip_db AND readable AS good FROM (

@@ -110,7 +110,7 @@ def running_totals(t):
     folder = work_folder(t.spark, "totals")
     landing.drain(landing.start_running_totals(
         documents(turn_stream(t)), f"{folder}/out", f"{folder}/checkpoint"))
-    return t.spark.read.parquet(f"{folder}/out").select(
+    return landing.latest_totals(t.spark, f"{folder}/out").select(
         "total_files_processed", "total_records_extracted")
 
 

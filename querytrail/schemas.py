@@ -11,32 +11,17 @@ def strings(*names: str) -> T.StructType:
 
 QUERY_KEY = ["ProcID", "QueryID", "logdate"]
 
+# The columns of an extract, in order.
 EXTRACT_COLUMNS = [
     "ProcID", "logdate", "CollectTimeStamp", "SessionID", "QueryID", "StatementType",
     "ObjectDatabaseName", "ObjectTableName", "Username", "SQLTEXTINFO",
 ]
 
-EXTRACT = T.StructType([
-    T.StructField("ProcID", T.LongType()),
-    T.StructField("logdate", T.DateType()),
-    T.StructField("CollectTimeStamp", T.TimestampNTZType()),
-    T.StructField("SessionID", T.LongType()),
-    T.StructField("QueryID", T.LongType()),
-    T.StructField("StatementType", T.StringType()),
-    T.StructField("ObjectDatabaseName", T.StringType()),
-    T.StructField("ObjectTableName", T.StringType()),
-    T.StructField("Username", T.StringType()),
-    T.StructField("SQLTEXTINFO", T.StringType()),
-])
-
 LINEAGE_KEY = [
     "source_col", "source_table", "target_table", "target_col",
     "source_db", "target_db", "Derivation_logic",
 ]
-LINEAGE = strings(*LINEAGE_KEY)
-WORK_LIST = strings("db", "table")
 TABLE_MAP = strings("table_name", "database_name")
-GAPS = strings("Database", "Table", "Start_Date", "End_Date", "Batch")
 RUN_METRICS = T.StructType([
     T.StructField("FileName", T.StringType()),
     T.StructField("DurationSeconds", T.LongType()),

@@ -121,7 +121,9 @@ def processing_stats(records: DataFrame) -> DataFrame:
 def start_running_totals(
     documents: DataFrame, target: str, checkpoint: str, available_now: bool = True
 ) -> StreamingQuery:
-    """Running totals over all files so far, rewritten after each batch (one row)."""
+    """Running totals over all files so far: one row per batch in a part of its own, which a repeated
+    batch replaces. Readers take the last one (`latest_totals`), so none ever meets an empty folder.
+    """
     totals = extraction_records(documents).filter("valid").agg(
         F.count("*").alias("total_files_processed"),
         F.sum("record_count").alias("total_records_extracted"),
@@ -129,14 +131,19 @@ def start_running_totals(
         F.max("processed_at").alias("last_processed_at"),
     )
 
-    def save(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(target)
+    def save(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/batch={number}")
 
     writer = totals.writeStream.outputMode("complete").option(
         "checkpointLocation", checkpoint).foreachBatch(save)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
+def latest_totals(spark: SparkSession, target: str) -> DataFrame:
+    """The totals after the last batch that was written whole."""
+    return spark.read.parquet(target).orderBy(F.col("batch").desc()).limit(1).drop("batch")
+
+
 def extract_with(
     documents: DataFrame, function: Callable[[Any, str], dict], schema: T.StructType
 ) -> DataFrame:

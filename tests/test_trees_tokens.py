@@ -223,3 +223,8 @@ def test_distribution(spark, rows):
     assert rows(d) == [("f", f"T{i}", 4) for i in range(3)]
     assert rows(tk.sizes(d)) == [("f", 12)]
     assert tk.of_type(stream(spark), 1).count() == tk.of_type_name(stream(spark), "T1").count() == 4
+
+
+def test_rejected_token_lists(spark, rows):
+    d = docs(spark, a={"tokenStream": [{"index": 0}]}, b="{", c={"parseTree": {}}, d={"tokenStream": 5}, e=[{}])
+    assert rows(tk.rejected_token_lists(d)) == [("b", "not readable"), ("d", "token list of another shape")]
