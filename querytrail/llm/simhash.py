@@ -257,26 +257,26 @@ def _pair(a: Column, b: Column) -> Column:
 
 
 def _led(postings: DataFrame) -> DataFrame:
-    """(key, node, low, high): the postings that more than one node shares, stored, with two of their
-    members drawn by hash, other ones per key."""
-    drawn = F.struct(F.xxhash64("node", "key").alias("drawn"), "node")
+    """(key, node, leader): the postings that more than one node shares, stored, with the member that
+    has the smallest hash. The hash is of the node alone, so the many keys that a group of near copies
+    shares name few leaders."""
+    drawn = F.struct(F.xxhash64("node").alias("drawn"), "node")
     leaders = store(
-        postings.groupBy("key").agg(F.min(drawn).alias("low"), F.max(drawn).alias("high"))
-        .filter("low.node <> high.node")
-        .select("key", F.col("low.node").alias("low"), F.col("high.node").alias("high")), "leaders")
+        postings.groupBy("key").agg(
+            F.min(drawn).alias("first"), F.min("node").alias("low"), F.max("node").alias("high"))
+        .filter("low <> high").select("key", F.col("first.node").alias("leader")), "leaders")
     return store(postings.join(leaders, "key"), "shared-postings")
 
 
 def _met_leaders(led: DataFrame) -> DataFrame:
-    """Distinct pairs of each member of a posting with the two that were drawn."""
-    met = led.select(F.explode(F.array(
-        _pair(F.col("node"), F.col("low")), _pair(F.col("node"), F.col("high")))).alias("p"))
-    return met.filter("p.a <> p.b").select("p.a", "p.b").distinct()
+    """Distinct pairs of each member of a posting with its leader."""
+    pair = _pair(F.col("node"), F.col("leader"))
+    return led.filter("node <> leader").select(pair.alias("p")).select("p.a", "p.b").distinct()
 
 
 def _met_in_short(postings: DataFrame) -> DataFrame:
-    """Distinct pairs of members of each posting with at most LONG_POSTING of them; two leaders for
-    every member of longer ones."""
+    """Distinct pairs of members of each posting with at most LONG_POSTING of them; in longer ones, of
+    each member with the leader."""
     sizes = store(
         postings.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
     sized = store(postings.join(sizes, "key"), "sized")
@@ -301,10 +301,10 @@ def similar_texts(
     they share a key of three bytes in the same positions and differ in no more bits than texts of
     this similarity do. Of pairs at similarity 0.8, 0.85, 0.9 about 83, 95, 99 % share a key.
 
-    First each member of a posting meets two members drawn by hash, other ones for each of the 126
-    keys; that joins large groups of near copies with work linear in their size. Then each posting is
-    reduced to one member per component and the members are paired off, in postings longer than
-    LONG_POSTING again through leaders. Nothing is capped, and no list of pairs within a group is made.
+    First each member of a posting meets the posting's leader, for each of the 126 keys; that joins
+    large groups of near copies with work linear in their size. Then each posting is reduced to one
+    member per component and the members are paired off, in postings longer than LONG_POSTING again
+    through a leader. Nothing is capped, and no list of pairs within a group is made.
 
     Texts without words are left out. Null ids take part unnamed, as in `near_duplicates`. Repeated
     rows keep their rows.
