@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from querytrail.session import store
+from querytrail.session import ship, store
 
 LONGEST = 24
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*\s*|[.!?\n]+\s*")
@@ -22,10 +22,10 @@ _WORD = re.compile(r"\S+\s*")
 def _cut(sentence: str) -> list[str]:
     """A sentence of more than LONGEST words ends after words picked by their own hash, so copies are
     cut alike wherever they stand, and after LONGEST words at the latest."""
+    if len(sentence.split()) <= LONGEST:
+        return [sentence]
     words = _WORD.findall(sentence)
     lead = len(sentence) - sum(map(len, words))
-    if len(words) <= LONGEST:
-        return [sentence]
     pieces, start = [], 0
     for i, word in enumerate(words):
         if i - start + 1 >= LONGEST or zlib.crc32(word.strip().lower().encode()) % 8 == 0:
@@ -56,7 +56,7 @@ def spans(pieces: list[str], length: int, min_words: int) -> list[tuple[int, int
     end gives none. Case and white space don't count.
     """
     words = [piece.lower().split() for piece in pieces]
-    keys = [" ".join(w) for w in words]
+    keys = [xxhash.xxh3_128_digest(" ".join(w)) for w in words]
     n = [len(w) for w in words]
     found, stop, held = [], 0, 0
     for start in range(len(keys)):
@@ -65,7 +65,7 @@ def spans(pieces: list[str], length: int, min_words: int) -> list[tuple[int, int
             stop += 1
         if stop - start < length or held < min_words:
             break
-        found.append((start, stop - start, xxhash.xxh3_128_digest("\n".join(keys[start:stop]))))
+        found.append((start, stop - start, xxhash.xxh3_128_digest(b"".join(keys[start:stop]))))
         held -= n[start]
     return found
 
@@ -95,19 +95,19 @@ def remove_repeats(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", length: int = 3,
     min_words: int = 20,
 ) -> DataFrame:
-    """All rows and columns, without the sentences that a repeated span covers; adds `n_sentences`
-    and `n_removed`.
+    """All rows and columns, without the sentences that a repeated span covers; adds `n_removed`.
 
     A span is `length` consecutive sentences, or more until it has `min_words` words. The first
     occurrence by (id, place) stays, every other one goes, also inside one document; what remains
     keeps its order and spacing, and a text may become empty. A null text stays null. Rows that share
     an id are taken as one document with one text, so repeated rows stay alike. Rows with a null id
-    neither count nor change. Input columns named like the added ones are replaced.
+    neither count nor change. An input column named like the added one is replaced.
 
     Hashes, not texts, are shuffled: once to find the first occurrence (combined before the shuffle,
     so a passage in a third of all documents is one row per task) and once to find the others, from
     a stored table of repeated hashes, so that hot hashes are split at run time.
     """
+    ship(docs.sparkSession)
     from pyspark.sql import types as T
 
     keyed = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).filter(
@@ -121,27 +121,25 @@ def remove_repeats(
     covered = store(
         later.groupBy(F.col("id").alias("_id")).agg(
             F.collect_set(F.struct("start", "size")).alias("_spans")), "covered")
-    kept_columns = [c for c in docs.columns if c not in ("n_sentences", "n_removed")]
+    kept_columns = [c for c in docs.columns if c != "n_removed"]
     joined = docs.select(*kept_columns).join(covered, F.col(id_column) == F.col("_id"), "left").drop("_id")
     at = kept_columns.index(text_column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, counts, removed = [], [], []
+            texts, removed = [], []
             columns = batch.columns
             for scalar, gone in zip(columns[at], columns[-1], strict=True):
                 text = scalar.as_py()
-                pieces = sentences(text or "")
                 out = {i for s in gone.as_py() or () for i in range(s["start"], s["start"] + s["size"])}
-                texts.append("".join(p for i, p in enumerate(pieces) if i not in out) if out else text)
-                counts.append(len(pieces))
+                if out:
+                    text = "".join(p for i, p in enumerate(sentences(text)) if i not in out)
+                texts.append(text)
                 removed.append(len(out))
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(columns[:-1])]
             yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(counts, pa.int64()), pa.array(removed, pa.int64())],
-                names=[*kept_columns, "n_sentences", "n_removed"])
+                [*columns, pa.array(removed, pa.int64())], names=[*kept_columns, "n_removed"])
 
     schema = T.StructType([
-        *[docs.schema[c] for c in kept_columns],
-        T.StructField("n_sentences", T.LongType()), T.StructField("n_removed", T.LongType())])
+        *[docs.schema[c] for c in kept_columns], T.StructField("n_removed", T.LongType())])
     return joined.mapInArrow(run, schema)
