@@ -274,17 +274,18 @@ def _met_leaders(led: DataFrame) -> DataFrame:
     return led.filter("node <> leader").select(pair.alias("p")).select("p.a", "p.b").distinct()
 
 
-def _met_in_short(postings: DataFrame) -> DataFrame:
-    """Distinct pairs of members of each posting with at most LONG_POSTING of them; in longer ones, of
-    each member with the leader."""
-    sizes = store(
-        postings.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
-    sized = store(postings.join(sizes, "key"), "sized")
-    short = sized.filter(F.col("size") <= LONG_POSTING)
-    pairs = short.select("key", F.col("node").alias("a")).join(
-        short.select("key", F.col("node").alias("b")), "key").filter("a < b").select("a", "b")
-    long = sized.filter(F.col("size") > LONG_POSTING).select("key", "node")
-    return pairs.union(_met_leaders(_led(long))).distinct()
+def _met_apart(labelled: DataFrame) -> DataFrame:
+    """Distinct pairs of members of a posting that lie in different components, all of them. Postings
+    within one component are left out before members meet; `labelled` is stored, so the join splits
+    hot keys at run time."""
+    mixed = store(
+        labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+        .filter("low <> high").select("key"), "mixed-keys")
+    apart = store(labelled.join(mixed, "key"), "mixed-postings")
+    one = apart.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
+    two = apart.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
+    pair = _pair(F.col("a"), F.col("b"))
+    return one.join(two, "key").filter("ca < cb").select(pair.alias("p")).select("p.a", "p.b").distinct()
 
 
 def _node_key() -> Column:
@@ -302,9 +303,10 @@ def similar_texts(
     this similarity do. Of pairs at similarity 0.8, 0.85, 0.9 about 83, 95, 99 % share a key.
 
     First each member of a posting meets the posting's leader, for each of the 126 keys; that joins
-    large groups of near copies with work linear in their size. Then each posting is reduced to one
-    member per component and the members are paired off, in postings longer than LONG_POSTING again
-    through a leader. Nothing is capped, and no list of pairs within a group is made.
+    large groups of near copies with work linear in their size. Then every two members of a posting
+    that are still in different components are compared. So every pair that shares a key is compared
+    unless links have joined it before; nothing is capped. The second step grows with the pairs of
+    texts that share a key and are not near copies, the first links apart.
 
     Texts without words are left out. Null ids take part unnamed, as in `near_duplicates`. Repeated
     rows keep their rows.
@@ -318,12 +320,10 @@ def similar_texts(
     shared = _led(_wide_postings(nodes))
     first = store(_verified(_met_leaders(shared), nodes, similarity), "first-links")
     group = components(first)
-    labelled = shared.select("key", "node").join(
+    labelled = store(shared.select("key", "node").join(
         group.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component"))
-    one_each = labelled.groupBy("key", "component").agg(
-        F.min(F.struct(F.xxhash64("node", "key"), "node")).alias("m")).select("key", F.col("m.node").alias("node"))
-    second = _verified(_met_in_short(one_each), nodes, similarity)
+        "key", "node", F.coalesce("component", "node").alias("component")), "labelled-postings")
+    second = _verified(_met_apart(labelled), nodes, similarity)
     group = components(first.union(second))
     named = store(
         nodes.select("node", "first_id").join(

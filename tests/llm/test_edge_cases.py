@@ -100,6 +100,15 @@ def test_wide_simhash_finds_near_copies_only(spark):
     assert simhash.similar_texts(docs.limit(0)).collect() == []
 
 
+def test_members_of_a_long_posting_meet_unless_linked(spark):
+    members = [(7, node, 0) for node in range(100)] + [(7, 200, 200), (7, 201, 201)]  # over LONG_POSTING
+    members += [(8, 1, 0), (8, 2, 0), (9, 300, 300), (9, 5, 0)]
+    postings = spark.createDataFrame(members, "key int, node long, component long")
+    got = sorted((r.a, r.b) for r in simhash._met_apart(postings).collect())
+    assert got == sorted(
+        [(node, x) for node in range(100) for x in (200, 201)] + [(200, 201), (5, 300)])
+
+
 def test_substring_edges(spark, docs, none):
     extra = docs.withColumn("n_removed", F.lit("old")).withColumn("id", F.lit(0)).withColumn("start", F.lit(1))
     rows = substrings.remove_repeats(extra).collect()
