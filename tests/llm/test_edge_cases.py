@@ -109,6 +109,33 @@ def test_members_of_a_long_posting_meet_unless_linked(spark):
         [(node, x) for node in range(100) for x in (200, 201)] + [(200, 201), (5, 300)])
 
 
+def test_wide_simhash_applies_the_limit_exactly(spark):
+    rows = []
+    for i in range(120):
+        words = prose(3000 + i, 300).split()
+        rows.append((i, " ".join(words)))
+        # Every inner word that changes takes five of 296 shingles: similarity 0.71 to 0.97.
+        for no in range(1 + i % 10):
+            words[10 + 28 * no] = f"changed{no}"
+        rows.append((1000 + i, " ".join(words)))
+
+    def shingles(text):
+        words = text.lower().split()
+        return {tuple(words[j:j + 5]) for j in range(len(words) - 4)}
+
+    got = {r.doc_id: r.component_id for r in simhash.similar_texts(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    above = below = joined = 0
+    for i in range(120):
+        a, b = shingles(texts[i]), shingles(texts[1000 + i])
+        alike = len(a & b) / len(a | b)
+        assert alike >= 0.8 or got[1000 + i] != got[i]  # nothing below the limit goes
+        above, joined = above + (0.8 <= alike), joined + (0.8 <= alike and got[1000 + i] == got[i])
+        below += 0.7 < alike < 0.8
+    assert below >= 24 and above >= 60 and joined >= 0.98 * above
+
+
 def test_substring_edges(spark, docs, none):
     extra = docs.withColumn("n_removed", F.lit("old")).withColumn("id", F.lit(0)).withColumn("start", F.lit(1))
     rows = substrings.remove_repeats(extra).collect()
