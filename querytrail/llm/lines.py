@@ -24,14 +24,18 @@ def _keys(text: Column) -> Column:
 
 def boilerplate(
     docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.02,
-    min_pages: int = 5,
+    min_pages: int = 5, distinct: bool = False,
 ) -> DataFrame:
     """(host, line_keys): the lines on more than `ratio` of the host's pages and `min_pages` or more.
 
-    A host has at most (distinct lines per page) / ratio such lines, so its row stays small however
+    A page is a row or, if `distinct`, a text: rows of a host with equal texts are one page, as texts
+    and in the host's total. They are combined before the shuffle, so a large group of copies is
+    one row per task. A host has at most (distinct lines per page) / ratio such lines, so its row stays small however
     many pages it has. Lines are counted before the shuffle and spread by (host, line).
     """
-    pages = docs.select(F.col(host).alias("host"), _keys(F.col(text)).alias("keys"))
+    pages = docs.select(F.col(host).alias("host"), _keys(F.col(text)).alias("keys"), F.xxhash64(text).alias("page"))
+    if distinct:
+        pages = store(pages.groupBy("host", "page").agg(F.first("keys").alias("keys")), "distinct-pages")
     totals = store(pages.groupBy("host").agg(F.count("*").alias("pages")), "host-pages")
     counts = store(
         pages.select("host", F.explode_outer("keys").alias("key")).filter("key is not null").groupBy("host", "key")
@@ -44,11 +48,12 @@ def boilerplate(
 
 def drop_boilerplate(
     docs: DataFrame, host: str = "source", text: str = "text", ratio: float = 0.02,
-    min_pages: int = 5,
+    min_pages: int = 5, distinct: bool = False,
 ) -> DataFrame:
     """All rows and columns, with boilerplate lines removed from the text; adds `n_lines_dropped`.
 
-    A page is a row: repeated rows count as pages of their own. Lines are compared without spaces at
+    A page is a row: repeated rows count as pages of their own, so a large group of copies loses all
+    its lines. With `distinct`, equal texts of a host are one page and copies keep theirs. Lines are compared without spaces at
     their ends; blank lines are never dropped, not even between dropped ones. Rows with a null host
     form one host. A null text stays null. A text may become empty. An input column named like the
     added one is replaced.
@@ -57,7 +62,7 @@ def drop_boilerplate(
     small; otherwise rows meet it by host, and a hot host is split at run time.
     """
     common = store(
-        boilerplate(docs, host, text, ratio, min_pages)
+        boilerplate(docs, host, text, ratio, min_pages, distinct)
         .select(F.col("host").alias("_of_host"), F.col("line_keys").alias("_line_keys")),
         "boilerplate")
     joined = docs.join(common, docs[host].eqNullSafe(common["_of_host"]), "left")

@@ -211,6 +211,15 @@ def test_line_edges(spark, none):
     assert lines.drop_boilerplate(none).collect() == []
 
 
+def test_line_dedup_of_the_pipeline_keeps_the_text_of_copies(spark):
+    rows = [(i, "first line\nsecond line", "h") for i in range(40)]
+    rows += [(100 + i, f"menu\nbody {i}", "h") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r.doc_id: r.text for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert {got[i] for i in range(40)} == {"first line\nsecond line"}
+    assert all(got[100 + i] == f"body {i}" for i in range(60))
+
+
 def test_quality_edges(spark, docs, none):
     trusted = spark.createDataFrame([(1,), (9,), (9,), (None,)], "doc_id long")
     rows = quality.apply_rules(docs.withColumn("kept", F.lit("x")).withColumn("weights", F.lit(1)), trusted).collect()
