@@ -27,13 +27,16 @@ def _target(dimension: str, weights: dict[str, float]) -> Column:
     return expression.otherwise(0.0)
 
 
-def rake(cells: DataFrame, targets: Targets, budget: float, sweeps: int = 12) -> DataFrame:
+def rake(
+    cells: DataFrame, targets: Targets, budget: float, sweeps: int = 12, keep_other: bool = False,
+) -> DataFrame:
     """Adds `share`: each cell's share of the mixture.
 
     `cells` has one row per combination of classes with its `tokens`. Shares start in proportion to
     tokens; each sweep scales them to the target marginals one dimension after the other, then
     limits each cell to the tokens it has under the budget. Targets of classes without tokens are
-    spread over the others. The table has at most one row per combination of targets, whatever the
+    spread over the others. With `keep_other`, `OTHER` has its share of all tokens as target where it
+    is given none, and the targets share the rest. The table has at most one row per combination of targets, whatever the
     corpus, so it is one partition and its windows need no shuffle.
     """
     cells = cells.coalesce(1)
@@ -46,6 +49,11 @@ def rake(cells: DataFrame, targets: Targets, budget: float, sweeps: int = 12) ->
         cells = cells.withColumn(
             f"_to_{dimension}", F.coalesce(F.try_divide(
                 _target(dimension, weights), F.sum("_once").over(whole)), F.lit(0.0))).drop("_once")
+        if keep_other and OTHER not in weights:
+            other = F.col(dimension) == OTHER
+            held = F.sum(F.when(other, F.col("share")).otherwise(0.0)).over(whole)
+            cells = cells.withColumn(f"_to_{dimension}", F.when(other, held).otherwise(
+                F.col(f"_to_{dimension}") * (1.0 - held)))
     for sweep in range(sweeps):
         if sweep % SWEEPS_PER_JOB == 0:
             cells = store(cells, "raked").coalesce(1)
@@ -66,12 +74,14 @@ def draw(id_column: Column, seed: str) -> Column:
 def mix(
     docs: DataFrame, targets: Targets, classes: dict[str, Column], id_column: str = "doc_id",
     text_column: str = "text", fraction: float = 0.8, sweeps: int = 12, seed: str = "mix",
+    keep_other: bool = False,
 ) -> DataFrame:
     """All rows and columns with `tokens`, the class of each dimension as `<dimension>_class`,
     `probability` and `sampled`.
 
     `targets` gives each dimension's classes and target weights, `OTHER` for all remaining values and
-    nulls; a class without a target, or with target 0, is not drawn. The mixture holds about
+    nulls; a class without a target, or with target 0, is not drawn. With `keep_other`, values that are not
+    listed and nulls keep their share of all tokens in dimensions without a target for `OTHER`. The mixture holds about
     `fraction` of all tokens; a cell that has fewer tokens than its share is taken whole. Whether a
     row is drawn depends on its id, so repeated rows share their fate, and null ids too. Rows are
     drawn, never repeated. Input columns named like the added ones are replaced.
@@ -84,7 +94,7 @@ def mix(
         .otherwise(F.lit(OTHER)).alias(names[d]) for d in targets])
     by_name = {names[d]: targets[d] for d in targets}
     cells = store(rows.groupBy(*by_name).agg(F.sum("tokens").alias("tokens")), "cells")
-    raked = rake(cells, by_name, fraction, sweeps)
+    raked = rake(cells, by_name, fraction, sweeps, keep_other)
     total = F.sum("tokens").over(Window.partitionBy(F.lit(1)))
     rates = store(raked.select(
         *[F.col(n).alias(f"_{n}") for n in by_name],

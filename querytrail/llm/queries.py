@@ -55,7 +55,7 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
 
 def op7_mixing_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "source", "lang", "text")
-    return mixing.mix(docs, mixing.TARGETS, mixing.classes_of_documents()).drop("text")
+    return mixing.mix(docs, mixing.TARGETS, mixing.classes_of_documents(), keep_other=True).drop("text")
 
 
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:

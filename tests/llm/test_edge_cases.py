@@ -252,6 +252,14 @@ def test_mixing_meets_its_targets(spark, docs, none):
     assert mixing.mix(none, targets, classes).collect() == []
 
 
+def test_mixing_draws_unlisted_and_null_classes(spark):
+    kinds = [("src1", "en"), ("new", "en"), (None, None), ("src2", "xx"), ("new", "xx")]
+    rows = [(i, prose(i, 30), *kinds[i % 5]) for i in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    drawn = corpus_pipeline.mixing_sources(spark, docs, "").collect()
+    assert {(r.source, r.lang) for r in drawn} == set(kinds)
+
+
 def test_toxicity_edges_and_held_out_accuracy(spark, docs, none):
     folder = "/root/testdata/sf0.1"
     table = spark.read.parquet(f"{folder}/documents.parquet")
