@@ -10,7 +10,9 @@ Short tokens give the tests little power, so ordinary strings pass more often. T
 is therefore chosen per (encoding, length band) from all candidates of the corpus: random tokens
 have `p` spread evenly, so twice the number above one half estimates how many there are; what lies
 above a level beyond their share is false. The lowest level whose estimated false share stays at
-`false_share` or less is taken. The histogram behind it has a fixed number of cells.
+`false_share` or less is taken. Cells too small for such an estimate are pooled with the nearest length
+bands of their encoding, or take the fixed level 1 / BINS, so that a rare encoding or length does not
+lose a random token for want of company. The histogram behind it has a fixed number of cells.
 """
 
 from __future__ import annotations
@@ -46,6 +48,9 @@ ALPHABETS = {
 }
 BANDS = (20, 24, 32, 48, 64, 96, 128, 256)
 BINS = 64
+#: A cell with fewer candidates is pooled with neighbouring lengths; where that is too few, too, the
+#: lowest level holds, which rejects a random token once in BINS times.
+MIN_CELL = 200
 
 _FOUND = (
     "array<struct<kind:string,start:int,stop:int,encoding:string,band:int,p:double>>")
@@ -160,7 +165,15 @@ def acceptance_levels(scanned: DataFrame, false_share: float = 0.05) -> dict[tup
     for encoding, band, at, n in counts.collect():
         table.setdefault((encoding, band), np.zeros(BINS))[at] = n
     levels = {}
-    for key, histogram in table.items():
+    for key in table:
+        near = sorted((k for k in table if k[0] == key[0]), key=lambda k: abs(BANDS.index(k[1]) - BANDS.index(key[1])))
+        histogram = np.zeros(BINS)
+        for other in near:
+            if histogram.sum() < MIN_CELL:
+                histogram = histogram + table[other]
+        if histogram.sum() < MIN_CELL:
+            levels[key] = 1 / BINS
+            continue
         above = histogram[::-1].cumsum()[::-1]
         random_tokens = 2 * above[BINS // 2]
         for at in range(1, BINS // 2 + 1):

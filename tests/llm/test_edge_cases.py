@@ -200,6 +200,15 @@ def test_secret_edges(spark, none):
     assert secrets.find_secrets(none).collect() == []
 
 
+def test_lone_random_tokens_are_found(spark):
+    found = "array<struct<kind:string,encoding:string,band:int,p:double>>"
+    cells = [(e, b, p) for (e, b), p in zip(
+        [(e, b) for e in secrets.ALPHABETS for b in secrets.BANDS], [0.05, 0.2, 0.4, 0.6] * 16)]
+    scanned = spark.createDataFrame([([("random", *c)],) for c in cells], f"found {found}")
+    levels = secrets.acceptance_levels(scanned)
+    assert all(levels.get((e, b), 1) <= p for e, b, p in cells) and min(levels.values()) >= 1 / secrets.BINS
+
+
 def test_line_edges(spark, none):
     rows = [(i, f"menu \nbody {i}\n\nfoot", "h") for i in range(10)]
     rows += [(20, None, "h"), (21, "", "h"), (22, "foot", "h"), (23, "menu\nfoot", None), (24, "menu\nmenu", "g")]
