@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from querytrail.llm import (
-    chat, lines, mixing, packing, quality, secrets, simhash, substrings, toxicity, vectors,
+    alignment, chat, contamination, lines, mixing, packing, quality, secrets, simhash, spelling, substrings,
+    toxicity, vectors,
 )
 from querytrail.session import ship, tune
 
@@ -73,11 +74,36 @@ def op10_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    vocabularies = [public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model")]
+    digest = F.when(F.col("groups") != "", F.sha2("groups", 256)).otherwise("")
+    # The groups' texts are several times as large as the documents, so only their digests are kept.
+    aligned = alignment.align(docs, *vocabularies).withColumn("groups_sha256", digest).drop("groups")
+    return alignment.rate_links(aligned).select(
+        F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    benchmark = _table(spark, folder, "benchmark").select("item_id", "text")
+    return contamination.mark_contaminated(docs, benchmark).drop("text")
+
+
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return spelling.spelling_variants(docs, reading=spelling.with_slips)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_simhash_near_dedup, op2_substring_dedup, op3_chat_formatting, op4_secret_scan,
         op5_line_dedup, op6_quality_rules, op7_mixing_sources, op8_toxicity,
-        op9_embedding_near_dedup, op10_best_fit_packing)
+        op9_embedding_near_dedup, op10_best_fit_packing, op11_tokenizer_alignment,
+        op12_benchmark_decontamination, op13_spelling_variants)
 }
 
-CHECKS: dict[str, str] = {"op5_line_dedup": lines.check_sql(), "op7_mixing_sources": mixing.check_sql()}
+CHECKS: dict[str, str] = {
+    "op5_line_dedup": lines.check_sql(), "op7_mixing_sources": mixing.check_sql(),
+    "op12_benchmark_decontamination": contamination.check_sql(),
+}
