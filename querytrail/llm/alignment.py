@@ -19,7 +19,7 @@ from querytrail.llm.packing import _byte_letters
 from querytrail.session import ship, store
 
 #: Characters of texts that are aligned together, and of stretches given to a tokenizer at once.
-TOGETHER, AT_ONCE = 1 << 22, 1 << 15
+TOGETHER, AT_ONCE = 1 << 20, 1 << 11
 #: A text is cut before a space that ends a word, if more than white space follows.
 CUT = re.compile(r"(?<=\S)(?= \s*\S)")
 #: Linked pairs with at least one in so many of all links; there are no more than that, so they are broadcast.
@@ -84,22 +84,30 @@ class _Aligner:
         yield CUT.split(text[at:]) if self.cuttable else [text]
 
     def _tokens(self, text: str) -> tuple | None:
-        """Ids and byte ends of both sides, and the size in bytes; none if a side does not spell the text."""
+        """Ids and byte ends of both sides, and the size in bytes; none if a side does not spell the text.
+
+        In ASCII a token that spells its part has as many bytes as its span has characters, so spans are
+        only asked for where a text has other characters."""
         raw = text.encode()
-        place = np.append(np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80), len(raw))
         encoding = self.a.encode(text, add_special_tokens=False)
         # The space in front is the one that sentencepiece adds.
-        mapping = self.b.encode(text[1:], return_type="offset_mapping")
+        mapping = self.b.encode(text[1:], return_type="offset_mapping") if len(raw) > len(text) else {
+            "ids": self.b.encode(text[1:])}
         ids_a, ids_b = np.array(encoding.ids, np.int64), np.array(mapping["ids"], np.int64)
         if not (self.side_a.spells(ids_a, raw) and self.side_b.spells(ids_b, raw)):
             return None
-        return (ids_a, _ends(encoding.offsets, self.side_a.sizes[ids_a], 0, place),
-                ids_b, _ends(mapping["offsets"], self.side_b.sizes[ids_b], 1, place), len(raw))
+        sizes_a, sizes_b = self.side_a.sizes[ids_a], self.side_b.sizes[ids_b]
+        if len(raw) == len(text):
+            return ids_a, np.cumsum(sizes_a), ids_b, np.cumsum(sizes_b), len(raw)
+        place = np.append(np.flatnonzero((np.frombuffer(raw, np.uint8) & 0xC0) != 0x80), len(raw))
+        return (ids_a, _ends(encoding.offsets, sizes_a, 0, place),
+                ids_b, _ends(mapping["offsets"], sizes_b, 1, place), len(raw))
 
     def align(self, lists: list[list[str]]) -> list[Part | None]:
         """A result for each list of stretches; none if the tokens of one side don't spell it. Each
         distinct stretch is tokenized once, many in a row, as stretches don't change each other's tokens."""
-        number = {s: i for i, s in enumerate(dict.fromkeys(chain.from_iterable(lists)))}
+        distinct = dict.fromkeys(chain.from_iterable(lists))
+        number = {s: i for i, s in enumerate(sorted(distinct, key=str.isascii))}
         indexes = [np.fromiter(map(number.__getitem__, held), np.int64, len(held)) for held in lists]
         found, stops, wrong, at = [], [], set(), 0
 
