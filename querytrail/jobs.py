@@ -156,14 +156,16 @@ def classify_file(spark: SparkSession, source: str, target: str) -> DataFrame:
 
 def ingest_folder(
     spark: SparkSession, folder: str, target: str, checkpoint: str,
-    max_wait_seconds: int | None = None,
+    max_wait_seconds: int | None = None, once_within: str | None = None,
 ) -> DataFrame:
     """Take in what has landed in a folder since the last call; statistics over all of it.
 
-    Waits until all of it is done; with a limit, a TimeoutError is raised when it is reached.
+    Waits until all of it is done; with a limit, a TimeoutError is raised when it is reached. With
+    `once_within`, such as "30 days", a content counts once in that time, whatever its files are called.
     """
     landing.drain(
-        landing.start_ingest(landing.landing_stream(spark, folder), target, checkpoint),
+        landing.start_ingest(
+            landing.landing_stream(spark, folder), target, checkpoint, once_within=once_within),
         max_wait_seconds)
     return landing.processing_stats(landing.good_records(spark.read.parquet(target)))
 

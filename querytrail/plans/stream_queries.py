@@ -81,6 +81,28 @@ def each_file_once(t):
         F.count("*").alias("records"), F.countDistinct("source_file").alias("files"))
 
 
+_CONTENTS = """
+SELECT DISTINCT form, CASE WHEN form = 'number' THEN conv_id END AS c, CASE WHEN form <> 'number' THEN turn END AS t,
+  CASE WHEN form <> 'number' THEN role END AS r, CASE WHEN form <> 'number' THEN text END AS x
+FROM (SELECT *, CASE turn % 4 WHEN 0 THEN 'object' WHEN 1 THEN 'list' WHEN 2 THEN 'data' ELSE 'number' END AS form
+  FROM {conversations} WHERE NOT (turn % 4 = 2 AND conv_id % 5 = 0) AND NOT (turn % 4 = 3 AND conv_id % 3 = 0)) d"""
+
+
+@query("st2_each_content_once", f"""
+SELECT CAST(CASE form WHEN 'object' THEN 3 WHEN 'list' THEN 2 WHEN 'data' THEN 4 ELSE 0 END AS BIGINT) AS record_count,
+  form = 'data' AS has_data_field, count(*) AS files FROM ({_CONTENTS}) c GROUP BY 1, 2""")
+def each_content_once(t):
+    folder = work_folder(t.spark, "contents")
+    for _ in range(2):
+        # Every document lands under two names; the second run meets the state that the first one left.
+        once = documents(turn_stream(t))
+        names = F.explode(F.array("file", F.concat("file", F.lit("-copy")))).alias("file")
+        landing.drain(landing.start_ingest(
+            once.select(names, "payload"), f"{folder}/out", f"{folder}/checkpoint", once_within="30 days"))
+    return landing.good_records(t.spark.read.parquet(f"{folder}/out")).groupBy(
+        "record_count", "has_data_field").agg(F.count("*").alias("files"))
+
+
 @query("st3_extraction_records", f"SELECT * FROM ({_GOOD}) g")
 def extraction_records(t):
     return landing.good_records(ingest(t)).drop("processed_at")

@@ -18,20 +18,37 @@ from querytrail.session import ship
 ACCEPTED, REJECTED = "accepted", "rejected"
 
 
-def landing_stream(spark: SparkSession, folder: str, files_per_trigger: int = 10_000) -> DataFrame:
+def landing_stream(
+    spark: SparkSession, folder: str, files_per_trigger: int = 10_000, max_file_age: str = "7d"
+) -> DataFrame:
     """New *.json files of a folder, each read once: (file, payload).
 
     The file source logs what it has read beside the checkpoint. Files are expected to be moved
-    into the folder when complete.
+    into the folder when complete. It remembers names for `max_file_age`, and does not read a file that
+    bears a time further than that before the newest one; name a longer time where old files land.
     """
     return (
         spark.readStream.format("text").option("wholetext", True)
         .option("pathGlobFilter", "*.json").option("maxFilesPerTrigger", files_per_trigger)
-        .load(folder)
+        .option("maxFileAge", max_file_age).load(folder)
         .select(F.col("_metadata.file_name").alias("file"), F.col("value").alias("payload"))
     )
 
 
+def once_by_content(documents: DataFrame, within: str = "30 days") -> DataFrame:
+    """Each content of a stream of documents once, under whatever names and however often it lands.
+
+    The name it came under first is kept; of several in one batch, any of them. State holds a hash of each
+    content, keyed and partitioned by it, until `within` has passed since the content first came; the next
+    copy is then new again. Time is that of the batch, so no file is late, whatever time it bears.
+    """
+    return (
+        documents.withColumn("content", F.unhex(F.sha2("payload", 256)))
+        .withColumn("arrived", F.current_timestamp()).withWatermark("arrived", within)
+        .dropDuplicatesWithinWatermark(["content"]).select(*documents.columns)
+    )
+
+
 def built_in_shape(payload: Column) -> Column:
     """Shape of a JSON text by built-in functions; null where they refuse it.
 
@@ -78,12 +95,16 @@ def quarantined(records: DataFrame) -> DataFrame:
 
 
 def start_ingest(
-    documents: DataFrame, target: str, checkpoint: str, available_now: bool = True
+    documents: DataFrame, target: str, checkpoint: str, available_now: bool = True,
+    once_within: str | None = None,
 ) -> StreamingQuery:
     """Write extraction records to a table split by outcome; exactly once by the sink's log.
 
-    Bad documents go to the `rejected` part and never stop the stream.
+    Bad documents go to the `rejected` part and never stop the stream. With `once_within`, copies of a
+    content that land under other names, or are written anew, in that time are left out
+    (`once_by_content`); all runs on one checkpoint must agree on whether it is given.
     """
+    documents = documents if once_within is None else once_by_content(documents, once_within)
     outcome = F.when(F.col("valid"), ACCEPTED).otherwise(REJECTED)
     writer = (
         extraction_records(documents).withColumn("outcome", outcome)
