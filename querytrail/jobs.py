@@ -93,7 +93,7 @@ def extract_statements(
     todo = store(extraction.remaining(work.withColumnRenamed(work.columns[2], POSITION), done), "work")
     batches = extraction.number_batches(todo, POSITION)
     rows = store(
-        extraction.extract_work_list(batches, *logs, statements, start, end), "extract")
+        extraction.extract_work_list(batches, *logs, statements, start, end, prefilter=True), "extract")
     sinks.replace_extracts(rows.select(*schemas.EXTRACT_COLUMNS), f"{target}/run={run}")
     packed = extraction.pack_batches(todo, POSITION)
     outcomes = packed.select("db", "batch_number", F.lit(True).alias("ok"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from querytrail.functions.dates import WINDOW_DAYS, window_of
 from querytrail.functions.ordered import number_rows
 from querytrail.schemas import EXTRACT_COLUMNS, QUERY_KEY
+from querytrail.session import store
 
 BATCH_SIZE = 100
 PAIR = ["db", "table"]
@@ -28,11 +29,34 @@ def join_distinct(objects: DataFrame, users: DataFrame, texts: DataFrame) -> Dat
     Copies are removed in each log first (combined before their shuffle): copies of one query in
     several logs would otherwise multiply.
     """
-    def unique(df: DataFrame) -> DataFrame:
-        wanted = [c for c in df.columns if c in EXTRACT_COLUMNS or c == "batch_number"]
-        return df.select(*wanted).distinct()
+    return join_logs(_unique(objects), _unique(users), _unique(texts))
 
-    return join_logs(unique(objects), unique(users), unique(texts))
+
+def _unique(df: DataFrame) -> DataFrame:
+    return df.select(*(c for c in df.columns if c in EXTRACT_COLUMNS or c == "batch_number")).distinct()
+
+
+def join_calls(objects: DataFrame, users: DataFrame) -> DataFrame:
+    """Distinct rows of the object and user logs that share a query key: all but the texts."""
+    return _unique(objects).join(_unique(users), QUERY_KEY)
+
+
+def join_texts(calls: DataFrame, texts: DataFrame, in_range: Column) -> DataFrame:
+    """The calls, a stored table, with their texts. Of the text log only wanted rows are shuffled, made
+    distinct and joined, in one exchange."""
+    return calls.join(_unique(_wanted_texts(texts, calls, in_range)), QUERY_KEY)
+
+
+def _wanted_texts(texts: DataFrame, calls: DataFrame, in_range: Column) -> DataFrame:
+    """Rows of the text log whose query is among the calls, a stored table.
+
+    The keys are stored, so their size is known: a small list is broadcast and the texts are filtered
+    where they are read. Beyond that the planner builds a Bloom filter of the keys (`session.DEFAULTS`
+    says up to which size) and applies it at the scan, so that wanted rows are shuffled and
+    hardly any others. The range, which all keys keep, is what makes it take the keys for selective.
+    """
+    keys = store(calls.select(*QUERY_KEY).distinct(), "wanted-queries")
+    return texts.filter(in_range).join(keys.filter(in_range), QUERY_KEY, "left_semi")
 
 
 def log_filter(
@@ -49,17 +73,22 @@ def log_filter(
 
 def fetch(
     objects: DataFrame, users: DataFrame, texts: DataFrame, db: str, tables: list[str],
-    statement: str, start: str, end: str,
+    statement: str, start: str, end: str, prefilter: bool = False,
 ) -> DataFrame:
     """Distinct extraction rows of some tables of one database in a date range.
 
-    The range is set on every log: the key holds the date, and each scan prunes by itself.
+    The range is set on every log: the key holds the date, and each scan prunes by itself. With
+    `prefilter` the join of the two small logs is stored first, and only the texts of its queries are
+    shuffled; without it, nothing runs until the result is read.
     """
     in_range = F.col("logdate").between(F.lit(start).cast("date"), F.lit(end).cast("date"))
     logs = [
         log.filter(in_range)
         for log in log_filter(objects, users, texts, db, tables, statement, start, end)
     ]
+    if prefilter:
+        return join_texts(store(join_calls(*logs[:2]), "calls"), logs[2], in_range).select(
+            *EXTRACT_COLUMNS).distinct()
     return join_distinct(*logs).select(*EXTRACT_COLUMNS).distinct()
 
 
@@ -89,21 +118,25 @@ def pack_batches(work: DataFrame, pos: str, size: int = BATCH_SIZE) -> DataFrame
 
 def extract_work_list(
     batches: DataFrame, objects: DataFrame, users: DataFrame, texts: DataFrame,
-    statements: list[str], start: Column, end: Column, days: int = WINDOW_DAYS,
+    statements: list[str], start: Column, end: Column, days: int = WINDOW_DAYS, prefilter: bool = False,
 ) -> DataFrame:
     """All windows, batches and statement types in one job.
 
     `batches` is the numbered work list (db, table, batch_number). The window is computed from
-    the log date, so there is no loop and no join with a list of windows.
+    the log date, so there is no loop and no join with a list of windows. With `prefilter` the calls are
+    stored first, and only their texts are shuffled; without it, nothing runs until the result is read.
     """
+    in_range = F.col("logdate").between(start, end)
+    kinds = users.filter(in_range & F.trim("StatementType").isin(statements))
     listed = batches.select(
         F.col("db").alias("ObjectDatabaseName"), F.col("table").alias("ObjectTableName"),
         "batch_number",
     ).distinct()
-    in_range = F.col("logdate").between(start, end)
-    kinds = users.filter(in_range & F.trim("StatementType").isin(statements))
     wanted = objects.filter(in_range).join(listed, ["ObjectDatabaseName", "ObjectTableName"])
-    rows = join_distinct(wanted, kinds, texts.filter(in_range))
+    if prefilter:
+        rows = join_texts(store(join_calls(wanted, kinds), "calls"), texts, in_range)
+    else:
+        rows = join_distinct(wanted, kinds, texts.filter(in_range))
     window = window_of(F.col("logdate"), start, end, days)
     return (
         rows.select(*EXTRACT_COLUMNS, "batch_number").distinct()

@@ -84,7 +84,7 @@ FROM {{v_obj}} JOIN {{v_log}} USING (ProcID, QueryID, logdate) JOIN {{v_sql}} US
 WHERE trim(StatementType) = 'Insert' AND ObjectDatabaseName = '{DB}' AND ObjectTableName IN ({_IN})
   AND logdate BETWEEN DATE '{START}' AND DATE '{END}'""")
 def distinct_extract_rows(t):
-    return _show(ex.fetch(*_logs(t), DB, LISTED, "Insert", START, END))
+    return _show(ex.fetch(*_logs(t), DB, LISTED, "Insert", START, END, prefilter=True))
 
 
 @query("fn8_calendar_windows", """
@@ -154,7 +154,7 @@ def extracted(t: Tables):
         ex.remaining(t.table_column("v_work"), t["v_ledger"]), "pos")
     return ex.extract_work_list(
         batches, *_logs(t), ["Insert", "Update"],
-        F.lit(SPAN_START).cast("date"), F.lit(SPAN_END).cast("date"))
+        F.lit(SPAN_START).cast("date"), F.lit(SPAN_END).cast("date"), prefilter=True)
 
 
 @query("lv2_windows_batches_types_in_one_job", f"""

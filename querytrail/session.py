@@ -21,12 +21,16 @@ DEFAULTS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # A log is filtered at its scan by the stored list of wanted queries, up to some two million of them:
+    # beyond that a filter of Spark's size, a megabyte, would let most other rows pass.
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "32MB",
     # Python batches are bounded by bytes too: one parse tree may be large.
     "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
 }
 TUNED = [
     "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled",
     "spark.sql.adaptive.forceOptimizeSkewedJoin", "spark.sql.execution.arrow.maxBytesPerBatch",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold",
 ]
 
 
