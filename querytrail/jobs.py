@@ -16,7 +16,7 @@ from querytrail.operators import (
     databases, extraction, levels, logmine, mapping, merge, pairs, scripts, tokens, trees, usage,
 )
 from querytrail.session import store
-from querytrail.sources import sinks, tables, texts
+from querytrail.sources import log_store, sinks, tables, texts
 from querytrail.streaming import landing
 
 POSITION = "_position"
@@ -45,11 +45,11 @@ def filter_file_by_pairs(
     spark: SparkSession, source: str, target: str, wanted: list[tuple[str, str]],
     db: str = "db", table: str = "table",
 ) -> DataFrame:
-    """Rows of the wanted pairs; returns rows processed, rows matched and match rate."""
-    rows = tables.read_table(spark, source)
-    listed = pairs.pair_frame(spark, wanted)
-    sinks.write_table(pairs.semi_join_pairs(rows, listed, db, table), target)
-    return pairs.match_metrics(rows, listed, db, table)
+    """Rows of the wanted pairs; returns rows processed, rows matched and match rate, counted while
+    writing."""
+    return pairs.write_matches(
+        tables.read_table(spark, source), pairs.pair_frame(spark, wanted),
+        lambda rows: sinks.write_table(rows, target), db, table)
 
 
 def merge_files(spark: SparkSession, first: str, second: str, target: str, check: bool = True) -> None:
@@ -102,6 +102,15 @@ def extract_statements(
     return extraction.row_totals(rows)
 
 
+def store_logs(
+    spark: SparkSession, objects: str, users: str, texts_: str, target: str, buckets: int = 200,
+    hot_rows: int = 1_000_000,
+) -> log_store.LogStore:
+    """Copies of the three query logs by query key, for `extraction.join_stored_logs`."""
+    return log_store.write_log_store(
+        tables.read_query_log(spark, objects, users, texts_), target, buckets, hot_rows)
+
+
 def _read_ledger(spark: SparkSession, folder: str) -> DataFrame:
     schema = "target_db string, target_table string, batch_number long, batch_size int, processed_date string, run long"
     try:

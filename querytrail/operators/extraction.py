@@ -9,6 +9,7 @@ from querytrail.functions.dates import WINDOW_DAYS, window_of
 from querytrail.functions.ordered import number_rows
 from querytrail.schemas import EXTRACT_COLUMNS, QUERY_KEY
 from querytrail.session import store
+from querytrail.sources.log_store import LogStore
 
 BATCH_SIZE = 100
 PAIR = ["db", "table"]
@@ -23,6 +24,13 @@ def join_logs(objects: DataFrame, users: DataFrame, texts: DataFrame) -> DataFra
     return objects.join(users, QUERY_KEY).join(texts, QUERY_KEY)
 
 
+def join_stored_logs(stored: LogStore) -> DataFrame:
+    """The same join over a log store: bucket by bucket without an exchange. Hot queries, which the
+    store keeps apart, are joined by shuffles that are split at run time."""
+    joined = join_logs(*stored.bucketed)
+    return joined if stored.hot is None else joined.unionByName(join_logs(*stored.hot))
+
+
 def join_distinct(objects: DataFrame, users: DataFrame, texts: DataFrame) -> DataFrame:
     """The join for results that are made distinct afterwards.
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from querytrail.session import local_frame
 
 NULL_TEXT = "nan"
+#: Pairs that are broadcast whatever the planner makes of their size; some hundred bytes each.
+BROADCAST_PAIRS = 1_000_000
 
 
 def pair_frame(spark: SparkSession, pairs: list[tuple[str, str]]) -> DataFrame:
@@ -88,6 +91,30 @@ def unique_pairs(df: DataFrame, db: str = "db", table: str = "table") -> DataFra
     )
 
 
+def write_matches(
+    df: DataFrame, pairs: DataFrame, write: Callable[[DataFrame], None], db: str = "db", table: str = "table"
+) -> DataFrame:
+    """Hand the rows of the pairs to `write`, which writes them whole; the metrics of `match_metrics`.
+
+    Rows are counted as they pass, before and behind the join, so the source is read once for both. That
+    takes a plan without a shuffle, as a task repeated for a lost shuffle file would count twice: beyond
+    BROADCAST_PAIRS pairs the source is read again to count. `pairs` is counted, so it should be a
+    caller's list or a stored table.
+    """
+    if not 0 < pairs.count() <= BROADCAST_PAIRS:
+        write(semi_join_pairs(df, pairs, db, table))
+        return match_metrics(df, pairs, db, table)
+    seen, matched, n = Observation(), Observation(), F.count(F.lit(1)).alias("n")
+    write(semi_join_pairs(df.observe(seen, n), F.broadcast(pairs), db, table).observe(matched, n))
+    return _with_rate(df.sparkSession.createDataFrame(
+        [(seen.get["n"], matched.get["n"])], "rows_processed long, rows_matched long"))
+
+
+def _with_rate(totals: DataFrame) -> DataFrame:
+    rate = F.col("rows_matched") / F.nullif("rows_processed", F.lit(0)) * 100
+    return totals.withColumn("match_rate", F.round(rate, 2))
+
+
 def match_metrics(
     df: DataFrame, pairs: DataFrame, db: str = "db", table: str = "table"
 ) -> DataFrame:
@@ -106,5 +133,4 @@ def match_metrics(
         F.coalesce(F.sum("n"), F.lit(0)).alias("rows_processed"),
         F.coalesce(F.sum(F.when(F.col("hit"), F.col("n"))), F.lit(0)).alias("rows_matched"),
     )
-    rate = F.col("rows_matched") / F.nullif("rows_processed", F.lit(0)) * 100
-    return totals.withColumn("match_rate", F.round(rate, 2))
+    return _with_rate(totals)

@@ -11,7 +11,7 @@ from querytrail.operators import levels, logmine
 from querytrail.plans.registry import query
 from querytrail.plans.standins import Tables
 from querytrail.session import work_folder
-from querytrail.sources import sinks, tables, texts
+from querytrail.sources import log_store, sinks, tables, texts
 
 DB, START, END = "db1", "1997-01-01", "1997-06-30"
 LISTED = [f"t{i}" for i in range(1, 150, 5)]
@@ -66,18 +66,32 @@ def parametrised_log_filter(t):
         texts_.select(F.lit("sql").alias("log"), *key))
 
 
-@query("jn1_three_log_join", """
+_THREE_LOGS = """
 SELECT ObjectDatabaseName, trim(StatementType) AS StatementType, Username, count(*) AS "rows",
   CAST(sum(SessionID) AS BIGINT) AS sessions, min(SQLTEXTINFO) AS first_text
 FROM {v_obj} JOIN {v_log} USING (ProcID, QueryID, logdate) JOIN {v_sql} USING (ProcID, QueryID, logdate)
-GROUP BY 1, 2, 3""")
+GROUP BY 1, 2, 3"""
+
+
+@query("jn1_three_log_join", _THREE_LOGS)
 def three_log_join(t):
-    return ex.join_logs(*_logs(t)).groupBy(
+    return _call_totals(ex.join_logs(*_logs(t)))
+
+
+def _call_totals(joined):
+    return joined.groupBy(
         "ObjectDatabaseName", F.trim("StatementType").alias("StatementType"), "Username").agg(
         F.count("*").alias("rows"), F.sum("SessionID").alias("sessions"),
         F.min("SQLTEXTINFO").alias("first_text"))
 
 
+@query("sc3_log_store_join", _THREE_LOGS)
+def log_store_join(t):
+    # Orders with seven lines count as hot queries, so that both parts of the store hold rows.
+    return _call_totals(ex.join_stored_logs(
+        log_store.write_log_store(_logs(t), work_folder(t.spark, "log-store"), buckets=8, hot_rows=6)))
+
+
 @query("ag1_distinct_extract_rows", f"""
 SELECT DISTINCT {_SHOW}
 FROM {{v_obj}} JOIN {{v_log}} USING (ProcID, QueryID, logdate) JOIN {{v_sql}} USING (ProcID, QueryID, logdate)

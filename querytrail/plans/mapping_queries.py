@@ -50,14 +50,24 @@ def unique_pairs(t):
     return pairs.unique_pairs(t["v_wide"], "db", "tbl").withColumnRenamed("table", "tbl")
 
 
-@query("ag5_match_metrics", f"""
+_METRICS = f"""
 SELECT rows_processed, rows_matched, round(rows_matched * 100.0 / rows_processed, 2)::DOUBLE AS match_rate FROM (
   SELECT count(*) AS rows_processed, count(*) FILTER (EXISTS (SELECT 1 FROM {{v_pairs}} p WHERE {_MATCH})) AS rows_matched
-  FROM {{v_wide}} w) x""")
+  FROM {{v_wide}} w) x"""
+
+
+@query("ag5_match_metrics", _METRICS)
 def match_metrics(t):
     return pairs.match_metrics(t["v_wide"], t["v_pairs"], "db", "tbl")
 
 
+@query("ag5_counts_while_writing", _METRICS)
+def counts_while_writing(t):
+    folder = work_folder(t.spark, "matches")
+    return pairs.write_matches(
+        t["v_wide"], store(t["v_pairs"], "pairs"), lambda rows: sinks.write_table(rows, folder), "db", "tbl")
+
+
 # --- unions --------------------------------------------------------------------------------
 
 _ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice"

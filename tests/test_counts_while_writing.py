@@ -1,0 +1,61 @@
+"""Matches are counted while they are written."""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from querytrail import jobs
+from querytrail.operators import pairs
+
+
+@pytest.fixture
+def source(tmp_path):
+    path = tmp_path / "in.csv"
+    path.write_text("db,table,n\n" + "".join(f"d{i % 5},t{i % 3},{i}\n" for i in range(3000)) + ",t1,x\n")
+    return str(path)
+
+
+def test_one_scan_and_the_same_numbers(spark, source, tmp_path):
+    wanted = [("d1", "t1"), ("d2", "t0"), ("nan", "t1"), ("none", "t1")]
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.read.csv(source, header=True)
+    counted = rows.mapInArrow(seen, rows.schema)
+    listed = pairs.pair_frame(spark, wanted)
+    out = str(tmp_path / "out")
+    got = pairs.write_matches(counted, listed, lambda df: df.write.parquet(out)).first()
+    assert read.value == 3001  # the source was read once
+    assert got == pairs.match_metrics(rows, listed).first() == (3001, 401, 13.36)
+    assert spark.read.parquet(out).count() == 401
+
+
+def test_long_lists_are_joined_by_shuffle(spark, source, tmp_path, monkeypatch):
+    monkeypatch.setattr(pairs, "BROADCAST_PAIRS", 1)
+    metrics = jobs.filter_file_by_pairs(spark, source, str(tmp_path / "out"), [("d1", "t1"), ("d2", "t0")])
+    assert metrics.first() == (3001, 400, 13.33)
+
+
+def test_no_rows_and_no_pairs(spark, source, tmp_path):
+    (tmp_path / "none.csv").write_text("db,table,n\n")
+    empty = jobs.filter_file_by_pairs(spark, str(tmp_path / "none.csv"), str(tmp_path / "a"), [("d1", "t1")])
+    assert empty.first() == (0, 0, None)
+    nothing = jobs.filter_file_by_pairs(spark, source, str(tmp_path / "b"), [])
+    assert nothing.first() == (3001, 0, 0.0)
+    assert spark.read.csv(str(tmp_path / "b"), header=True).columns == ["db", "table", "n"]
+    missing = jobs.filter_file_by_pairs(spark, source, str(tmp_path / "c"), [("x", "y")])
+    assert missing.first() == (3001, 0, 0.0)
+
+
+def test_the_pairs_are_broadcast(spark):
+    rows = spark.range(10).select(F.lit("d").alias("db"), F.lit("t").alias("table"))
+    plans = []
+    pairs.write_matches(
+        rows, pairs.pair_frame(spark, [("d", "t")]),
+        lambda df: plans.append((df.collect(), df._jdf.queryExecution().executedPlan().toString())))
+    assert "BroadcastHashJoin" in plans[0][1] and len(plans[0][0]) == 10
