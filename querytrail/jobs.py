@@ -11,7 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from querytrail import schemas
+from querytrail import batches, schemas
 from querytrail.operators import (
     databases, extraction, levels, logmine, mapping, merge, pairs, scripts, tokens, trees, usage,
 )
@@ -80,26 +80,29 @@ def map_tables(
 def extract_statements(
     spark: SparkSession, work: DataFrame, logs: tuple[DataFrame, DataFrame, DataFrame],
     statements: list[str], start: Column, end: Column, target: str, ledger: str, day: Column,
+    check: batches.Check | None = None, failed: str | None = None, max_failures: int = 20,
 ) -> DataFrame:
-    """One run over the open part of the work list: extract, append, record in the ledger.
-
-    `work` holds (db, table, position). Each run writes its rows to a part of `target` of its own,
-    numbered by the runs in the ledger, and the ledger last: a run that stopped early leaves the
-    ledger as it was, so the repeated run replaces its part. Returns row totals per database, batch
-    and window.
+    """One run over the open part of the work list: extract, check, keep, record in the ledger.
+
+    `work` holds (db, table, position). `check` may convert the rows and may raise. All batches run as
+    one job; its rows are moved to a part of `target` of their own when they are whole, its ledger
+    entries last. Without `failed`, an error ends the run and nothing of it is kept. With it, the batches
+    that fail are found by halving, listed there (`batches.read_failed`) with their tables, statement
+    type and error, and left out of the ledger; the others are kept, so the next run repeats the
+    failed ones only. More than `max_failures` of them raise `batches.TooManyFailures`. Returns row
+    totals per database, batch and window; `batches.read_extract` reads what has been kept.
     """
-    done = _read_ledger(spark, ledger)
-    run = done.select("run").distinct().count()
+    done = batches.read_ledger(spark, ledger)
     todo = store(extraction.remaining(work.withColumnRenamed(work.columns[2], POSITION), done), "work")
-    batches = extraction.number_batches(todo, POSITION)
-    rows = store(
-        extraction.extract_work_list(batches, *logs, statements, start, end, prefilter=True), "extract")
-    sinks.replace_extracts(rows.select(*schemas.EXTRACT_COLUMNS), f"{target}/run={run}")
-    packed = extraction.pack_batches(todo, POSITION)
-    outcomes = packed.select("db", "batch_number", F.lit(True).alias("ok"))
-    extraction.append_ledger(
-        extraction.ledger_rows(packed, outcomes, day).withColumn("run", F.lit(run).cast("long")), ledger)
-    return extraction.row_totals(rows)
+    numbered = store(extraction.number_batches(todo, POSITION), "batches")
+    packed = store(extraction.pack_batches(todo, POSITION), "packed")
+
+    def extract(some: DataFrame, kinds: list[str]) -> DataFrame:
+        return extraction.extract_work_list(some, *logs, kinds, start, end, prefilter=True)
+
+    run = batches.BatchRun(
+        spark, numbered, packed, extract, statements, check or (lambda rows: rows), target, ledger, day)
+    return extraction.row_totals(run.whole() if failed is None else run.one_by_one(failed, max_failures))
 
 
 def store_logs(
@@ -111,16 +114,6 @@ def store_logs(
         tables.read_query_log(spark, objects, users, texts_), target, buckets, hot_rows)
 
 
-def _read_ledger(spark: SparkSession, folder: str) -> DataFrame:
-    schema = "target_db string, target_table string, batch_number long, batch_size int, processed_date string, run long"
-    try:
-        return spark.read.schema(schema).parquet(folder)
-    except AnalysisException as problem:
-        if "PATH_NOT_FOUND" not in str(problem):
-            raise
-        return spark.createDataFrame([], schema)
-
-
 def mine_log(spark: SparkSession, log: str, target: str) -> DataFrame:
     """Skipped tables and dates of an extraction log; returns the summary per file."""
     lines = texts.read_log_lines(spark, log)

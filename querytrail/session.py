@@ -107,6 +107,17 @@ def cleaned_up(spark: SparkSession) -> Iterator[None]:
             at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def move_into_place(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a finished folder, in place of what an earlier attempt may have left under the name."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    old, new = hadoop(source), hadoop(target)
+    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.delete(new, True)
+    files.mkdirs(new.getParent())
+    if not files.rename(old, new):
+        raise OSError(f"could not rename {source} to {target}")
+
+
 def local_frame(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
     """A caller's list as a DataFrame whose size the planner knows, so it may be broadcast."""
     return spark.createDataFrame(pa.table(columns))
