@@ -16,7 +16,7 @@ from querytrail.operators import (
     databases, extraction, levels, logmine, mapping, merge, pairs, scripts, tokens, trees, usage,
 )
 from querytrail.session import store
-from querytrail.sources import log_store, sinks, tables, texts
+from querytrail.sources import global_map, log_store, sinks, tables, texts
 from querytrail.streaming import landing
 
 POSITION = "_position"
@@ -77,6 +77,29 @@ def map_tables(
     return tables.read_table(spark, target)
 
 
+def map_level(
+    spark: SparkSession, lineage: str, target: str, global_map_folder: str, table_map: str, catalog: DataFrame
+) -> DataFrame:
+    """The mapping step of a level: fill the databases of its merged rows and extend the global map.
+
+    Where the global map exists and knows every database on either side, the merged rows are kept
+    as they are and nothing is looked up or appended. Otherwise `map_tables` fills them, and the (database,
+    table) pairs of both sides that the map lacks are appended as a new version of it.
+    """
+    rows = tables.read_table(spark, lineage)
+    if global_map.map_exists(spark, global_map_folder) and databases.unmapped_databases(
+            rows, global_map.read_global_map(spark, global_map_folder)).isEmpty():
+        sinks.write_table(rows, target)
+        return tables.read_table(spark, target)
+    filled = map_tables(spark, lineage, target, table_map, catalog)
+    sides = [
+        filled.select(F.col(f"{side}_db").alias("db"), F.col(f"{side}_table").alias("table"))
+        for side in ("source", "target")]
+    found = sides[0].union(sides[1]).filter("db is not null and `table` is not null").distinct()
+    global_map.add_pairs(spark, global_map_folder, store(found, "level-pairs"))
+    return filled
+
+
 def extract_statements(
     spark: SparkSession, work: DataFrame, logs: tuple[DataFrame, DataFrame, DataFrame],
     statements: list[str], start: Column, end: Column, target: str, ledger: str, day: Column,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from querytrail import batches, jobs
 from querytrail.functions import dates
 from querytrail.functions import text as tx
 from querytrail.operators import extraction as ex
@@ -164,10 +165,10 @@ WHERE trim(StatementType) IN ('Insert', 'Update') AND logdate BETWEEN DATE '{SPA
 
 
 def extracted(t: Tables):
-    batches = ex.number_batches(
+    numbered = ex.number_batches(
         ex.remaining(t.table_column("v_work"), t["v_ledger"]), "pos")
     return ex.extract_work_list(
-        batches, *_logs(t), ["Insert", "Update"],
+        numbered, *_logs(t), ["Insert", "Update"],
         F.lit(SPAN_START).cast("date"), F.lit(SPAN_END).cast("date"), prefilter=True)
 
 
@@ -241,6 +242,38 @@ def ledger_append(t):
     return t.spark.read.parquet(folder)
 
 
+# The second batch of one database meets an error in its updates.
+_REFUSED = f"""
+SELECT DISTINCT db, batch_number FROM ({_NUMBERED}) n JOIN {{v_obj}} ON ObjectDatabaseName = db AND ObjectTableName = tbl
+JOIN {{v_log}} USING (ProcID, QueryID, logdate) JOIN {{v_sql}} USING (ProcID, QueryID, logdate)
+WHERE db = 'db3' AND batch_number = 2 AND trim(StatementType) = 'Update' AND logdate BETWEEN DATE '{SPAN_START}' AND DATE '{SPAN_END}'
+  AND DATE '{SPAN_START}' + CAST(date_diff('day', DATE '{SPAN_START}', logdate) // 30 * 30 AS INT) < DATE '{SPAN_END}'"""
+
+
+@query("lv3_real_batch_outcomes", f"""
+SELECT 'done' AS part, db, batch_number, CAST(count(*) AS INT) AS batch_size, CAST(NULL AS VARCHAR) AS tables,
+  CAST(NULL AS VARCHAR) AS statement, CAST(NULL AS VARCHAR) AS error
+FROM ({_NUMBERED}) n WHERE (db, batch_number) NOT IN ({_REFUSED}) GROUP BY 2, 3
+UNION ALL SELECT 'failed', db, batch_number, CAST(count(*) AS INT), string_agg(tbl, ',' ORDER BY pos), 'Update',
+  'no more spool space' FROM ({_NUMBERED}) m WHERE (db, batch_number) IN ({_REFUSED}) GROUP BY 2, 3""")
+def real_batch_outcomes(t):
+    folder = work_folder(t.spark, "outcomes")
+    refused = (F.col("ObjectDatabaseName") == "db3") & (F.col("batch_number") == 2) & (F.trim("StatementType") == "Update")
+    text = F.when(refused, F.raise_error(F.lit("no more spool space"))).otherwise(F.col("SQLTEXTINFO"))
+    jobs.extract_statements(
+        t.spark, t.table_column("v_work").select("db", "table", "pos"), _logs(t), ["Insert", "Update"],
+        F.lit(SPAN_START).cast("date"), F.lit(SPAN_END).cast("date"), f"{folder}/extract", f"{folder}/ledger",
+        F.lit("2024-06-30").cast("date"), check=lambda rows: rows.withColumn("SQLTEXTINFO", text),
+        failed=f"{folder}/failed")
+    done = batches.read_ledger(t.spark, f"{folder}/ledger").groupBy(
+        F.col("target_db").alias("db"), "batch_number").agg(F.first("batch_size").alias("batch_size"))
+    failed = batches.read_failed(t.spark, f"{folder}/failed").withColumn(
+        "tables", F.array_join("tables", ",")).withColumn(
+        "error", F.regexp_extract("error", "no more spool space", 0))
+    return done.withColumn("part", F.lit("done")).unionByName(
+        failed.withColumn("part", F.lit("failed")), allowMissingColumns=True)
+
+
 @query("sk1_append_extract_sink", """
 SELECT statement_type, count(*) AS "rows", CAST(sum(QueryID) AS BIGINT) AS queries FROM (
   SELECT trim(StatementType) AS statement_type, QueryID

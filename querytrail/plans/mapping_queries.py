@@ -11,7 +11,7 @@ from querytrail.plans.registry import query
 from querytrail.plans.standins import Tables
 from querytrail.schemas import strings
 from querytrail.session import store, work_folder
-from querytrail.sources import sinks, tables
+from querytrail.sources import global_map, sinks, tables
 
 # --- pair filters --------------------------------------------------------------------------
 
@@ -250,6 +250,19 @@ def new_global_pairs(t):
     return db.new_pairs(current, t.table_column("v_global")).withColumnRenamed("table", "tbl")
 
 
+@query("jn6_global_map_versions", """
+SELECT DISTINCT target_db AS db, target_table AS tbl FROM {v_lineage} WHERE target_db IS NOT NULL
+UNION SELECT db, tbl FROM {v_global}""")
+def global_map_versions(t):
+    folder = work_folder(t.spark, "global-map")
+    global_map.add_pairs(t.spark, folder, t.table_column("v_global"))
+    current = store(t["v_lineage"].filter("target_db is not null").select(
+        F.col("target_db").alias("db"), F.col("target_table").alias("table")).distinct(), "pairs")
+    for _ in range(2):  # the second run finds nothing to add
+        global_map.add_pairs(t.spark, folder, current)
+    return global_map.read_global_map(t.spark, folder).withColumnRenamed("table", "tbl")
+
+
 @query("se4_unmapped_databases", """
 SELECT db FROM (SELECT source_db AS db FROM {v_lineage} UNION SELECT target_db FROM {v_lineage}) d
 WHERE db IS NOT NULL AND db NOT IN (SELECT db FROM {v_global})""")

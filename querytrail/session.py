@@ -109,15 +109,47 @@ def cleaned_up(spark: SparkSession) -> Iterator[None]:
 
 def move_into_place(spark: SparkSession, source: str, target: str) -> None:
     """Rename a finished folder, in place of what an earlier attempt may have left under the name."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    old, new = hadoop(source), hadoop(target)
-    files = old.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    (old, files), (new, _) = _files(spark, source), _files(spark, target)
     files.delete(new, True)
     files.mkdirs(new.getParent())
     if not files.rename(old, new):
         raise OSError(f"could not rename {source} to {target}")
 
 
+def _files(spark: SparkSession, path: str):
+    """Hadoop's path and file system of a folder."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder, which need not exist."""
+    at, files = _files(spark, path)
+    return [status.getPath().getName() for status in files.listStatus(at)] if files.exists(at) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    at, files = _files(spark, path)
+    files.delete(at, True)
+
+
+def claim_place(spark: SparkSession, source: str, target: str) -> bool:
+    """Rename a folder that holds files to a name that is not taken; whether it was this one.
+
+    A rename onto a folder that exists moves the source into it or fails, whoever comes first; either is
+    seen and undone.
+    """
+    old, files = _files(spark, source)
+    new, _ = _files(spark, target)
+    inside = _files(spark, f"{target}/{old.getName()}")[0]
+    files.mkdirs(new.getParent())
+    if not files.exists(new) and files.rename(old, new) and not files.exists(inside):
+        return True
+    files.delete(inside, True)
+    files.delete(old, True)
+    return False
+
+
 def local_frame(spark: SparkSession, columns: dict[str, list]) -> DataFrame:
     """A caller's list as a DataFrame whose size the planner knows, so it may be broadcast."""
     return spark.createDataFrame(pa.table(columns))
