@@ -49,7 +49,7 @@ def _features(docs: DataFrame, text: str, buckets: int) -> DataFrame:
 
 def fit(
     docs: DataFrame, trusted: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    buckets: int = 1 << 14, smoothing: float = 0.5,
+    buckets: int = 1 << 14, smoothing: float = 0.5, prior: float = 1000.0,
 ) -> DataFrame:
     """One row with `weights`: per bucket, log of its probability in trusted texts over that in all.
 
@@ -67,8 +67,10 @@ def fit(
         .filter("bucket is not null").groupBy("bucket").agg(F.count("*").alias("n"), F.sum("trusted").alias("k")), "ngram-counts")
     totals = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first()
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("bucket"))
-    share = lambda part, total: (F.coalesce(part, F.lit(0)) + smoothing) / (total + smoothing * buckets)
-    weight = F.log(share(F.col("k"), totals.k)) - F.log(share(F.col("n"), totals.n))
+    share = (F.coalesce("n", F.lit(0)) + smoothing) / (totals.n + smoothing * buckets)
+    # Trusted counts are smoothed towards all texts: an n-gram without trusted counts says no more for
+    # being rare, and one that is as frequent in both says nothing.
+    weight = F.log((F.coalesce("k", F.lit(0)) + prior * share) / ((totals.k + prior) * share))
     # Without trusted texts there is nothing to compare with.
     weight = weight if totals.k else F.lit(0.0)
     ordered = every.join(counts, "bucket", "left").select(F.struct("bucket", weight.alias("weight")).alias("b"))

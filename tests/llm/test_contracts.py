@@ -8,6 +8,7 @@ from collections import defaultdict
 
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from querytrail.llm import queries
 
@@ -97,10 +98,21 @@ def test_op6_measures(spark, documents):
     assert not any(r.kept and r.base_failed for r in rows)
 
 
-def test_op9_against_all_pairs(spark):
+def test_op9_against_all_pairs(spark, tmp_path):
+    """The given vectors, in which no two are close, and close ones planted among them."""
     import numpy as np
 
-    rows = spark.read.parquet(f"{SF}/embeddings.parquet").collect()
+    given = spark.read.parquet(f"{SF}/embeddings.parquet")
+    rng, planted, held = np.random.default_rng(4), [], given.collect()
+    for no, row in enumerate(held[:60]):
+        for copy in range(no % 4):  # chains and groups, some links just above or below the limit
+            noise = rng.normal(size=len(row.embedding)) * rng.uniform(0.05, 0.5) * np.linalg.norm(row.embedding)
+            vector = np.array(row.embedding) + noise / np.sqrt(len(row.embedding))
+            planted.append((10_000 + 4 * no + copy, [float(x) for x in vector], row.label))
+    more = spark.createDataFrame(planted, "vec_id long, embedding array<double>, label string")
+    columns = [F.col(c).cast(given.schema[c].dataType) for c in ("vec_id", "embedding", "label")]
+    given.select("vec_id", "embedding", "label").union(more.select(*columns)).write.parquet(f"{tmp_path}/embeddings.parquet")
+    rows = spark.read.parquet(f"{tmp_path}/embeddings.parquet").collect()
     n_links, reach = defaultdict(int), {r.vec_id: r.vec_id for r in rows}
     pairs = []
     for i, a in enumerate(rows):
@@ -115,7 +127,7 @@ def test_op9_against_all_pairs(spark):
         for a, b in pairs:
             reach[a] = reach[b] = min(reach[a], reach[b])
     assert pairs
-    got = queries.op9_embedding_near_dedup(spark, SF).collect()
+    got = queries.op9_embedding_near_dedup(spark, str(tmp_path)).collect()
     assert {r.vec_id: (r.n_links, r.component_id, r.kept) for r in got} == {
         v: (n_links[v], c, v == c) for v, c in reach.items()}
 
