@@ -15,6 +15,10 @@ from querytrail.llm.graph import components
 from querytrail.session import ship, store
 
 
+#: Vectors whose id this divides are searched for by comparison too, and at least so many of a block.
+AUDIT, LEAST_AUDIT = 50, 64
+
+
 class Graph:
     """Hierarchical navigable small-world graph over unit vectors; similarity is their dot product."""
 
@@ -30,8 +34,23 @@ class Graph:
         self.filled = [np.zeros(n, np.int32) for _ in range(top + 1)]
         self.entry, self.height = 0, int(self.levels[0]) if n else 0
         self.seen, self.stamp = np.zeros(n, np.int32), 0
+        self.chosen = np.full((n, degree), -1, np.int32)
         for node in range(1, n):
             self._insert(node)
+        self._join_edges()
+
+    def _join_edges(self) -> None:
+        """All edges of layer 0, in both directions: those kept and those first chosen. In a dense cluster
+        vectors crowd each other out of their lists, but each has chosen some of it when it came."""
+        n = len(self.vectors)
+        ends = [np.zeros((0, 2), np.int64)]
+        for held in (self.near[0], self.chosen):
+            rows, places = np.nonzero(held >= 0)
+            ends.append(np.stack([rows, held[rows, places].astype(np.int64)], axis=1))
+        one = np.concatenate(ends)
+        codes = np.unique(np.concatenate([one[:, 0] * n + one[:, 1], one[:, 1] * n + one[:, 0]])) if n else one[:, 0]
+        self.edge_ends = (codes % max(n, 1)).astype(np.int32)
+        self.edge_starts = np.searchsorted(codes, np.arange(n + 1, dtype=np.int64) * n)
 
     def _neighbours(self, layer: int, node: int) -> np.ndarray:
         return self.near[layer][node, :self.filled[layer][node]]
@@ -52,9 +71,9 @@ class Graph:
         return best
 
     def _search(
-        self, query: np.ndarray, starts: list[int], beam: int, layer: int, floor: float = 2.0
+        self, query: np.ndarray, starts: list[int], beam: int, layer: int
     ) -> list[tuple[float, int]]:
-        """The `beam` most similar nodes found, and beyond them all met with `floor` or more."""
+        """The `beam` most similar nodes found."""
         self.stamp += 1
         seen, stamp, vectors = self.seen, self.stamp, self.vectors
         seen[starts] = stamp
@@ -77,8 +96,7 @@ class Graph:
                 if len(best) < beam or s > best[0][0]:
                     heapq.heappush(open_, (-s, other))
                     heapq.heappush(best, (s, other))
-                    # The beam grows past its width only by nodes that count as links.
-                    while len(best) > beam and best[0][0] < floor:
+                    if len(best) > beam:
                         heapq.heappop(best)
         return best
 
@@ -105,6 +123,8 @@ class Graph:
             picked = self._pick(found, self.degree)
             self.near[layer][node, :len(picked)] = picked
             self.filled[layer][node] = len(picked)
+            if layer == 0:
+                self.chosen[node, :len(picked)] = picked
             for other in picked:
                 self._add(layer, other, node)
             starts = [n for _, n in found]
@@ -123,10 +143,23 @@ class Graph:
         self.near[layer][node, :len(picked)] = picked
 
     def links(self, query: np.ndarray, beam: int, least: float) -> np.ndarray:
-        """Nodes with similarity `least` or more that a beam of this width meets."""
+        """Nodes with similarity `least` or more: those that a beam of this width meets, and from them on
+        all that edges between such nodes reach, a wave at a time."""
         start = self._descend(query, self.entry, self.height, 0)
-        found = self._search(query, [start], beam, 0, least)
-        return np.array([node for s, node in found if s >= least], np.int64)
+        wave = np.array([n for s, n in self._search(query, [start], beam, 0) if s >= least], np.int64)
+        held = np.zeros(len(self.vectors), bool)
+        seen = held.copy()
+        seen[wave] = True
+        while len(wave):
+            held[wave] = True
+            starts, counts = self.edge_starts[wave], self.edge_starts[wave + 1] - self.edge_starts[wave]
+            at = np.arange(counts.sum()) + np.repeat(starts - np.cumsum(counts) + counts, counts)
+            around = np.zeros(len(held), bool)
+            around[self.edge_ends[at]] = True
+            fresh = np.flatnonzero(around & ~seen)
+            seen[fresh] = True
+            wave = fresh[self.vectors[fresh] @ query >= least]
+        return np.flatnonzero(held)
 
 
 def _unit(rows: list) -> np.ndarray:
@@ -135,25 +168,26 @@ def _unit(rows: list) -> np.ndarray:
 
 
 def audited_links(
-    graph: Graph, queries: np.ndarray, least: float, recall: float = 0.99, audit: int = 64
+    graph: Graph, queries: np.ndarray, least: float, recall: float = 0.99, ids: np.ndarray | None = None,
 ) -> tuple[list[np.ndarray], float, int]:
     """Links of every query, the recall measured, and the beam that passed.
 
-    `audit` queries spread over the block are compared with all vectors of the shard. The beam is
-    doubled until they have `recall` of the true links; at the size of the shard the search is
-    replaced by the comparison itself.
+    Queries whose id is divisible by AUDIT, and LEAST_AUDIT spread over all, are compared with all
+    vectors of the shard. The beam is doubled until they have `recall` of the true links; at the size of
+    the shard the search is replaced by the comparison itself.
     """
     n = len(graph.vectors)
     if not n or not len(queries):
         return [np.zeros(0, np.int64)] * len(queries), 1.0, 0
-    sample = np.unique(np.linspace(0, len(queries) - 1, min(audit, len(queries))).astype(np.int64))
-    true = queries[sample] @ graph.vectors.T >= least
-    beam = graph.beam
+    spread = np.linspace(0, len(queries) - 1, min(LEAST_AUDIT, len(queries))).astype(np.int64)
+    sample = np.union1d(spread, np.flatnonzero((np.arange(len(queries)) if ids is None else ids) % AUDIT == 0))
+    true = np.concatenate([
+        queries[sample[at:at + 256]] @ graph.vectors.T >= least for at in range(0, len(sample), 256)])
+    total, beam = int(true.sum()), graph.beam
     while beam < n:
         found = sum(int(true[i, graph.links(queries[q], beam, least)].sum()) for i, q in enumerate(sample))
-        measured = found / max(1, int(true.sum()))
-        if found >= recall * true.sum():
-            return [graph.links(q, beam, least) for q in queries], measured if true.any() else 1.0, beam
+        if found >= recall * total:
+            return [graph.links(q, beam, least) for q in queries], found / total if total else 1.0, beam
         beam *= 2
     every = []
     for at in range(0, len(queries), 256):
@@ -183,14 +217,42 @@ _FOUND = pa.schema([("rep", pa.int64()), ("n_links", pa.int64()), ("root", pa.in
                     ("recall", pa.float64()), ("beam", pa.int64())])
 
 
-def _found(reps: np.ndarray, weights: np.ndarray, union: _Union, recall: float, beam: int) -> pa.RecordBatch:
+def _found(reps: np.ndarray, weights: np.ndarray, roots: np.ndarray, recall: float, beam: int) -> pa.RecordBatch:
     """One row per vector of the task: links counted here and the smallest row it is connected to here."""
-    roots = np.array([reps[union.root(i)] for i in range(len(reps))], np.int64)
     return pa.RecordBatch.from_arrays(
         [pa.array(reps), pa.array(weights), pa.array(roots), pa.array([recall] * len(reps), pa.float64()),
          pa.array([beam] * len(reps), pa.int64())], schema=_FOUND)
 
 
+def _counted(links: list[np.ndarray], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector of a shard the number of others it is linked with, found from either end, and the
+    first vector that links lead to. A bit per pair: 8 MB for a shard of 8192, however dense it is."""
+    n = len(links)
+    bits = np.zeros((n, (n + 7) // 8), np.uint8)
+    for at in range(0, n, 512):
+        rows = np.zeros((min(512, n - at), n), bool)
+        for i, found in enumerate(links[at:at + 512]):
+            rows[i, found] = True
+            rows[i, at + i] = True
+        bits[at:at + len(rows)] |= np.packbits(rows, axis=1)
+        # The same links from the other end.
+        ends, starts = np.nonzero(rows.T)
+        np.bitwise_or.at(bits, (ends, (at + starts) // 8), (128 >> (at + starts) % 8).astype(np.uint8))
+    weights, roots = np.zeros(n, np.int64), np.full(n, -1, np.int64)
+    for at in range(0, n, 512):
+        rows = np.unpackbits(bits[at:at + 512], axis=1, count=n)
+        weights[at:at + 512] = rows.astype(np.float64) @ sizes - 1
+    for first in range(n):
+        wave = np.array([first]) if roots[first] < 0 else np.zeros(0, np.int64)
+        while len(wave):
+            roots[wave] = first
+            reached = np.zeros(bits.shape[1], np.uint8)
+            for at in range(0, len(wave), 512):
+                reached |= np.bitwise_or.reduce(bits[wave[at:at + 512]], axis=0)
+            wave = np.flatnonzero(np.unpackbits(reached, count=n).astype(bool) & (roots < 0))
+    return weights, roots
+
+
 def _classes(vectors: DataFrame, id_column: str, vector_column: str, label_column: str) -> DataFrame:
     """(id, label, embedding) of the vectors that can be linked."""
     usable = (
@@ -199,7 +261,10 @@ def _classes(vectors: DataFrame, id_column: str, vector_column: str, label_colum
         & F.exists("embedding", lambda x: x != 0)
     )
     return vectors.select(
-        F.col(id_column).cast("long").alias("id"), F.col(label_column).alias("label"),
+        F.col(id_column).cast("long").alias("id"),
+        # Vectors of unequal length are not compared.
+        F.when(F.col(label_column).isNotNull(), F.concat_ws(
+            ":", F.size(vector_column).cast("string"), F.col(label_column).cast("string"))).alias("label"),
         F.col(vector_column).cast("array<double>").alias("embedding")).filter(usable)
 
 
@@ -235,20 +300,10 @@ def link_vectors(
         table = table.take(pa.array(order))
         reps, sizes = table.column("rep").to_numpy(), table.column("size").to_numpy()
         graph = Graph(_unit(table.column("embedding").to_pylist()), degree, beam)
-        links, measured, width = audited_links(graph, graph.vectors, least, recall)
-        union, pairs = _Union(len(reps)), set()
-        weights = sizes - 1
-        for i, found in enumerate(links):
-            for j in found.tolist():
-                if i != j:
-                    pairs.add((i, j) if i < j else (j, i))
-                    union.join(i, j)
-        if pairs:
-            a, b = np.array(list(pairs)).T
-            weights = weights + np.bincount(a, sizes[b], minlength=len(reps)).astype(np.int64) \
-                + np.bincount(b, sizes[a], minlength=len(reps)).astype(np.int64)
+        links, measured, width = audited_links(graph, graph.vectors, least, recall, reps)
+        weights, roots = _counted(links, sizes)
         held = pickle.dumps((graph, reps, sizes)) if table.column("shards")[0].as_py() > 1 else b""
-        own = _found(reps, weights, union, measured, width)
+        own = _found(reps, weights, reps[roots], measured, width)
         return pa.table({
             "label": [table.column("label")[0].as_py()], "shard": [table.column("shard")[0].as_py()],
             "graph": [held], "own": [own.to_pylist()]}, schema=shard_schema)
@@ -283,7 +338,7 @@ def link_vectors(
                 ids = np.array([r["rep"] for r in rows], np.int64)
                 counts = np.array([r["size"] for r in rows], np.int64)
                 links, measured, width = audited_links(
-                    graph, _unit([r["embedding"] for r in rows]), least, recall)
+                    graph, _unit([r["embedding"] for r in rows]), least, recall, ids)
                 n = len(reps)
                 union, weights = _Union(n + len(ids)), np.zeros(n + len(ids), np.int64)
                 for i, found in enumerate(links):
@@ -291,7 +346,8 @@ def link_vectors(
                     weights[found] += counts[i]
                     for j in found.tolist():
                         union.join(n + i, j)
-                yield _found(np.concatenate([reps, ids]), weights, union, measured, width)
+                both = np.concatenate([reps, ids])
+                yield _found(both, weights, both[[union.root(i) for i in range(len(both))]], measured, width)
 
     across = met.select("graph", "rows").mapInArrow(search, found_type)
     return own.union(across)
@@ -301,13 +357,14 @@ def near_duplicate_vectors(
     vectors: DataFrame, id_column: str = "vec_id", vector_column: str = "embedding",
     label_column: str = "label", least: float = 0.93, **options,
 ) -> DataFrame:
-    """(id, n_links, component_id, kept) of every vector.
+    """(id, n_links, component_id, kept, recall) of every vector.
 
     `n_links` counts the other vectors of its label with cosine `least` or more, `component_id` is the
     smallest id reachable by such links, `kept` whether that is its own. Vectors that are null, zero
     or hold null or non-finite components, and rows without a label or an id, link with nothing and
     are kept (without an id: null component, kept). Rows that repeat an id, label and vector are one vector.
-    Vectors of one label must have one length.
+    Vectors of unequal length are not linked. `recall` is the lowest share of true links that the audits of
+    a vector's searches have found; 1 where nothing was to be searched.
     """
     rows = vectors.select(
         F.col(id_column).cast("long").alias("id"), F.col(label_column).alias("label"),
@@ -316,21 +373,23 @@ def near_duplicate_vectors(
         _classes(vectors, id_column, vector_column, label_column).distinct(), "usable-vectors")
     found = store(link_vectors(
         vectors, id_column, vector_column, label_column, least, **options), "found-links")
-    counted = found.groupBy("rep").agg(F.sum("n_links").alias("n_links"))
+    counted = found.groupBy("rep").agg(F.sum("n_links").alias("n_links"), F.min("recall").alias("recall"))
     group = components(found.filter("root <> rep").select(
         F.col("root").alias("a"), F.col("rep").alias("b")).distinct())
     reps = store(
         counted.join(group, F.col("rep") == F.col("node"), "left")
-        .select("rep", "n_links", F.coalesce("component", "rep").alias("component_id")), "vector-reps")
+        .select("rep", "n_links", "recall", F.coalesce("component", "rep").alias("component_id")), "vector-reps")
     smallest = usable.groupBy("label", "embedding").agg(F.min("id").alias("rep"))
     members = store(
         usable.join(store(smallest, "class-names"), ["label", "embedding"]).select("id", "rep"), "members")
     # The smallest id of a component is the smallest id of one of its classes.
     linked = members.join(reps, "rep").groupBy(F.col("id").alias("of")).agg(
-        F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"))
+        F.sum("n_links").alias("n_links"), F.min("component_id").alias("component_id"),
+        F.min("recall").alias("recall"))
     return (
         rows.select("id").distinct().join(linked, F.col("id") == F.col("of"), "left")
         .select(F.col("id").alias(id_column), F.coalesce("n_links", F.lit(0)).alias("n_links"),
-                F.coalesce("component_id", "id").alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col(id_column) == F.col("component_id"), F.lit(True)))
+                F.coalesce("component_id", "id").alias("component_id"),
+                F.coalesce(F.coalesce("component_id", "id") == F.col("id"), F.lit(True)).alias("kept"),
+                F.coalesce("recall", F.lit(1.0)).alias("recall"))
     )
