@@ -146,12 +146,24 @@ def mine_log(spark: SparkSession, log: str, target: str) -> DataFrame:
 
 
 def validate_scripts(
-    spark: SparkSession, folder: str, target: str, check: scripts.Check = scripts.is_valid
+    spark: SparkSession, folder: str, target: str, check: scripts.Check = scripts.is_valid,
+    validate: scripts.Validate | None = None,
 ) -> DataFrame:
-    """Statistics, error list and dump of invalid statements for every script of a folder."""
+    """Statistics, error list and dump of invalid statements for every script of a folder.
+
+    With `validate` (statement -> messages) instead of `check` the messages are the caller's: all
+    of them are written to `messages` with their statement, and what it raised for corrupted ones.
+    """
     source = texts.read_scripts(spark, folder)
-    checked = scripts.check_statements(scripts.split_statements(source, clean=True), check)
-    stats = scripts.script_stats(source, check)
+    statements = scripts.split_statements(source, clean=True)
+    if validate is None:
+        checked, stats = scripts.check_statements(statements, check), scripts.script_stats(source, check)
+    else:
+        # Stored, so a statement is validated once.
+        checked = store(scripts.validate_statements(statements, validate), "validated")
+        stats = scripts.stats_of_all(source, checked)
+        checked.filter("ok is null or not ok").select("file", "stmt_no", "messages", "problem").write.mode(
+            "overwrite").parquet(f"{target}/messages")
     sinks.write_table(stats, f"{target}/stats")
     sinks.append_error_list(checked, f"{target}/errors")
     sinks.write_invalid_statements(checked, f"{target}/invalid")

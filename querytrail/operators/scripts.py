@@ -6,20 +6,23 @@ that row with array functions and needs no shuffle.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from querytrail.functions.text import (
     clean_line_ends, failed_label, json_name, percentage, trim_control,
 )
+from querytrail.session import ship
 
 # The placeholder validity test and its message.
 KEYWORDS = ["INSERT", "UPDATE", "CREATE", "DELETE"]
 MESSAGE = "Line 1:0 - Invalid SQL syntax"
 
 Check = Callable[[Column], Column]
+Validate = Callable[[str], Iterable[str]]
 
 
 def is_valid(statement: Column, keywords: list[str] | None = None) -> Column:
@@ -54,6 +57,35 @@ def check_statements(statements: DataFrame, check: Check = is_valid) -> DataFram
     )
 
 
+def validate_statements(statements: DataFrame, validate: Validate) -> DataFrame:
+    """Adds ok, messages, problem, message and error by a caller's validator.
+
+    `validate` gives the messages about a statement, none for a good one, and is called once per
+    statement, in batches. Where it raises, the statement counts as corrupted: ok is null, `problem` says what
+    was raised, and the others go on. `message` is the first one, `error` that up to its first dash.
+    """
+    ship(statements.sparkSession)
+
+    def outcome(statement: str) -> tuple[bool | None, list[str], str | None]:
+        try:
+            messages = [str(m) for m in validate(statement)]
+        except Exception as problem:  # noqa: BLE001 - whatever a caller's function raises
+            return None, [], f"{type(problem).__name__}: {problem}"
+        return not messages, messages, None
+
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            found = pd.DataFrame([outcome(s) for s in part], columns=["ok", "messages", "problem"])
+            yield found.astype({"ok": "boolean"})
+
+    checked = F.pandas_udf(run, "ok boolean, messages array<string>, problem string")
+    found = statements.withColumn("_found", checked("stmt"))
+    message = F.get("_found.messages", F.lit(0))
+    return found.select(
+        *statements.columns, "_found.ok", "_found.messages", "_found.problem", message.alias("message"),
+        trim_control(F.split_part(message, F.lit("-"), F.lit(1))).alias("error"))
+
+
 def script_stats(
     scripts: DataFrame, check: Check = is_valid, time_taken: Column | None = None
 ) -> DataFrame:
@@ -84,6 +116,20 @@ def statement_stats(checked: DataFrame) -> DataFrame:
         percentage(F.col("queries_with_error"), F.col("number_of_queries")))
 
 
+def message_counts(validated: DataFrame) -> DataFrame:
+    """How often each short message was given per file, all messages of a statement counted."""
+    each = validated.select("file", F.explode("messages").alias("message"))
+    short = trim_control(F.split_part("message", F.lit("-"), F.lit(1)))
+    return each.groupBy("file", short.alias("error")).agg(F.count("*").alias("failures"))
+
+
+def stats_of_all(scripts: DataFrame, checked: DataFrame) -> DataFrame:
+    """`statement_stats` with a row of zeros for scripts without a statement."""
+    stats = statement_stats(checked)
+    zero = {c: 0 for c in stats.columns if c != "file_name"}
+    return scripts.select(F.col("file").alias("file_name")).join(stats, "file_name", "left").fillna(zero)
+
+
 def error_counts(checked: DataFrame) -> DataFrame:
     """Failures per short message and file."""
     return checked.filter(~F.col("ok")).groupBy("file", "error").agg(

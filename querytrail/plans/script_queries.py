@@ -209,6 +209,32 @@ def caller_statement_validator(t):
     return sc.statement_stats(sc.check_statements(sc.split_statements(t.scripts()), check))
 
 
+def _messages(statement: str) -> list[str]:
+    """Two messages about each merge, one about some selects; some inserts can't be read."""
+    if statement.endswith("0)"):
+        raise ValueError("unreadable value")
+    if statement.startswith("merge"):
+        return ["Line 1:0 - unknown statement", "Line 1:100 - long line"]
+    return ["Line 1:7 - odd table"] if statement.startswith("SELECT") and statement.endswith("5") else []
+
+
+@query("ag7_caller_messages", """
+SELECT file, error, count(*) AS failures FROM (
+  SELECT file, unnest(['Line 1:0', 'Line 1:100']) AS error FROM {c_stmts} WHERE stmt LIKE 'merge%'
+  UNION ALL SELECT file, 'Line 1:7' FROM {c_stmts} WHERE stmt LIKE 'SELECT%5') m GROUP BY 1, 2""")
+def caller_messages(t):
+    return sc.message_counts(sc.validate_statements(sc.split_statements(t.scripts(), clean=True), _messages))
+
+
+@query("ud3_validator_that_raises", """
+SELECT file AS file_name, n AS number_of_queries, bad AS queries_with_error, odd AS corrupted_queries,
+  floor(CAST(bad AS DOUBLE) / CAST(n AS DOUBLE) * 100.0::DOUBLE * 100.0::DOUBLE + 0.5::DOUBLE) / 100.0::DOUBLE AS percentage_of_errors
+FROM (SELECT file, count(*) AS n, count(*) FILTER (stmt LIKE 'merge%' OR stmt LIKE 'SELECT%5') AS bad,
+    count(*) FILTER (stmt LIKE '%0)') AS odd FROM {c_stmts} GROUP BY 1) s""")
+def validator_that_raises(t):
+    return sc.statement_stats(sc.validate_statements(sc.split_statements(t.scripts(), clean=True), _messages))
+
+
 # --- usage classification ------------------------------------------------------------------
 
 _FLAGS = """
