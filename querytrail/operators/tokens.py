@@ -113,6 +113,7 @@ def between_points(
 
 def display(tokens: DataFrame) -> DataFrame:
     """Adds the usual one-line form [@i,a:b='text',<type>,line:col]."""
+    # Fixed value: the display form.
     return tokens.withColumn("display", F.format_string(
         "[@%d,%d:%d='%s',<%s>,%d:%d]", "index", "start_index", "stop_index", "text", "type_name",
         "line", "column"))

@@ -17,6 +17,7 @@ EXTRACT_COLUMNS = [
     "ObjectDatabaseName", "ObjectTableName", "Username", "SQLTEXTINFO",
 ]
 
+# Columns of a lineage row, of the saved map, of run results and of the difference report.
 LINEAGE_KEY = [
     "source_col", "source_table", "target_table", "target_col",
     "source_db", "target_db", "Derivation_logic",
@@ -43,6 +44,7 @@ MAPPING_ALIASES = {
     "source_column": ["source_column", "sourcecolumn"],
 }
 
+# Fields of a token and of a document's metadata.
 TOKEN = T.StructType([
     T.StructField("index", T.IntegerType()),
     T.StructField("type", T.IntegerType()),
