@@ -37,11 +37,9 @@ def documents(turns):
 
 
 def turn_stream(t: Tables):
-    """The conversations table as a file stream."""
-    return (
-        t.spark.readStream.schema(t["conversations"].schema)
-        .option("pathGlobFilter", "conversations.parquet").parquet(t.folder)
-    )
+    """The conversations table as a file stream, be it one file or a folder of files: of a glob, the source
+    does not ask that it be a folder."""
+    return t.spark.readStream.schema(t["conversations"].schema).parquet(f"{t.folder}/conversations.parque[t]")
 
 
 def ingest(t: Tables):
