@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 from querytrail.llm import lines, mixing, packing, quality, simhash
 from querytrail.session import ship, store, tune, work_folder
 
-SIMILARITY = 0.8
-SHINGLE_WORDS = 5
+SHINGLE_WORDS = 3
+DISTANCE = 2
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,16 +41,15 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, the one with the smallest id.
 
-    Five-word shingles, similarity 0.8 or more. Texts without words stay. Rows that share an id stand
-    or fall together; rows without an id stay.
+    Groups are those of `simhash.near_duplicates`: fingerprints of three-word shingles, linked at two or
+    fewer differing bits. Texts without words share fingerprint zero and are one group. Rows that share
+    an id stand or fall together; rows without an id stay.
     """
     ship(tune(spark))
-    groups = simhash.similar_texts(docs, size=SHINGLE_WORDS, similarity=SIMILARITY)
+    groups = simhash.near_duplicates(docs.select("doc_id", "text"), size=SHINGLE_WORDS, distance=DISTANCE)
     # Stored, the ids of the copies have a known size: the texts are shuffled only if it is large.
-    copies = store(
-        groups.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_copy")),
-        "copies")
-    return docs.join(copies, F.col("doc_id") == F.col("_copy"), "left_anti")
+    copies = store(groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id"), "copies")
+    return docs.join(copies, "doc_id", "left_anti").select(*docs.columns)
 
 
 def mixing_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
