@@ -163,238 +163,3 @@ def near_duplicates(
 
 def hex_digits(fingerprint: Column) -> Column:
     return F.lower(F.lpad(F.hex(fingerprint), 16, "0"))
-
-
-# Wide fingerprints: near copies of five-word shingles differ in more bits than 64 can tell apart.
-
-LONGS = 16
-#: Bits of a key of the index, and how often all bits are dealt out anew to keys.
-KEY_BITS = 24
-DEALS = 4
-#: Standard deviations by which the bits of a pair may exceed what its similarity lets expect.
-SLACK = 3.0
-
-
-def _spread(hashes: np.ndarray, no: int) -> np.ndarray:
-    """Another 64 well-mixed bits of each hash, for every number."""
-    mixed = hashes + np.uint64((0x9E3779B97F4A7C15 * (no + 1)) & (1 << 64) - 1)
-    mixed = (mixed ^ (mixed >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    mixed = (mixed ^ (mixed >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return mixed ^ (mixed >> np.uint64(31))
-
-
-def shingle_set(text: bytes, size: int = 5) -> np.ndarray:
-    """The distinct shingle hashes in order."""
-    parts = list(shingle_hashes(words_of(text), size))
-    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
-
-
-def wide_simhash(shingles: np.ndarray) -> np.ndarray:
-    """LONGS x 64 fingerprint bits of a set of shingles, as bytes."""
-    counts = np.zeros(64 * LONGS, np.int64)
-    for at in range(0, len(shingles), CHUNK):
-        for no in range(LONGS):
-            counts[64 * no:64 * no + 64] += bit_counts(_spread(shingles[at:at + CHUNK], no))
-    return np.packbits(2 * counts > len(shingles), bitorder="little")
-
-
-def _text_key(text: str) -> Column:
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-
-
-def wide_fingerprints(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5
-) -> DataFrame:
-    """(id, text_key, n, node, prints): hash of the text, number of distinct shingles, hash of their set,
-    and the set's fingerprint as LONGS numbers."""
-    ship(docs.sparkSession)
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, nodes, prints = [], [], []
-            for text in batch.column(2).cast(pa.binary()):
-                held = shingle_set(text.as_py() or b"", size)
-                sizes.append(len(held))
-                nodes.append(xxhash.xxh64_intdigest(held.tobytes(), SEED))
-                prints.append(wide_simhash(held).view("<i8"))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()),
-                 pa.array(np.array(nodes, np.uint64).view(np.int64)), pa.array(prints, pa.list_(pa.int64()))],
-                names=["id", "text_key", "n", "node", "prints"])
-
-    kind = docs.schema[id_column].dataType.simpleString()
-    rows = docs.select(
-        F.col(id_column).alias("id"), _text_key(text_column).alias("text_key"), F.col(text_column).alias("text"))
-    return rows.mapInArrow(run, f"id {kind}, text_key long, n long, node long, prints array<long>")
-
-
-def _shingle_sets(
-    docs: DataFrame, nodes: DataFrame, pairs: DataFrame, text_column: str, size: int
-) -> DataFrame:
-    """(node, shingles), stored: the shingle set of every node of the pairs, from one of its texts."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = store(nodes.select("node", "text_key").join(ends, "node"), "wanted-texts")
-    texts = docs.select(_text_key(text_column).alias("text_key"), F.col(text_column).alias("text")).join(
-        wanted, "text_key").groupBy("text_key").agg(F.first("node").alias("node"), F.first("text").alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [shingle_set(t.as_py() or b"", size).view(np.int64) for t in batch.column(1).cast(pa.binary())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"])
-
-    return store(texts.select("node", "text").mapInArrow(run, "node long, shingles array<long>"), "shingle-sets")
-
-
-def _exact(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose shingle sets have this Jaccard similarity or more."""
-    one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
-    two = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
-    shared = F.size(F.array_intersect("sa", "sb"))
-    every = F.size("sa") + F.size("sb") - shared
-    return pairs.join(one, "a").join(two, "b").filter(shared >= similarity * every - 1e-9).select("a", "b")
-
-
-def _deals() -> list[np.ndarray]:
-    """For each deal, the bits of every key: the fingerprint's bits in a fixed mixed order, cut up."""
-    bits = 64 * LONGS
-    orders = [np.argsort(_spread(np.arange(bits, dtype=np.uint64), no)) for no in range(DEALS)]
-    return [order[:bits // KEY_BITS * KEY_BITS] for order in orders]
-
-
-def wide_keys(wide: np.ndarray) -> np.ndarray:
-    """The keys of each fingerprint (a row of bytes): KEY_BITS bits with the key's number, 32 bits in all.
-    Keys of one deal share no bits, so a pair that misses one has other chances."""
-    bits = np.unpackbits(wide, axis=1, bitorder="little")
-    keys = []
-    for no, order in enumerate(_deals()):
-        held = np.packbits(bits[:, order].reshape(len(wide), -1, KEY_BITS), axis=2).astype(np.uint32)
-        number = np.arange(held.shape[1], dtype=np.uint32) + np.uint32(no * held.shape[1])
-        for i in range(held.shape[2]):
-            number = number << np.uint32(8) | held[:, :, i]
-        keys.append(number)
-    return np.concatenate(keys, axis=1).view(np.int32)
-
-
-def _wide_postings(nodes: DataFrame) -> DataFrame:
-    """(key, node): the inverted index; a fingerprint has one posting per key."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 4096):
-                part = batch.slice(at, 4096)
-                prints = part.column(1).flatten().to_numpy(zero_copy_only=False).astype("<i8")
-                keys = wide_keys(prints.view(np.uint8).reshape(-1, 8 * LONGS))
-                node = np.repeat(part.column(0).to_numpy(), keys.shape[1])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), pa.array(node)], names=["key", "node"])
-
-    return nodes.select("node", "prints").mapInArrow(run, "key int, node long")
-
-
-def bits_at(similarity: float, slack: float = SLACK) -> int:
-    """Bits in which fingerprints of texts with this Jaccard similarity differ, plus `slack` times
-    the standard deviation: two texts share 2s / (1 + s) of their shingles, the cosine of the angle
-    between them, and each bit differs with probability angle / pi."""
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
-    bits = 64 * LONGS
-    return int(bits * share + slack * np.sqrt(bits * share * (1 - share)))
-
-
-def _close(pairs: DataFrame, nodes: DataFrame, similarity: float) -> DataFrame:
-    """Pairs (a, b) whose fingerprints and lengths don't rule the similarity out, stored."""
-    one = nodes.select(F.col("node").alias("a"), F.col("prints").alias("pa"), F.col("n").alias("na"))
-    two = nodes.select(F.col("node").alias("b"), F.col("prints").alias("pb"), F.col("n").alias("nb"))
-    bits = sum(
-        (F.bit_count(F.get("pa", F.lit(i)).bitwiseXOR(F.get("pb", F.lit(i)))) for i in range(LONGS)), F.lit(0))
-    with_a = store(pairs.join(one, "a"), "half-pairs")
-    return store(with_a.join(two, "b").filter(
-        (bits <= bits_at(similarity))
-        & (F.least("na", "nb") >= similarity * F.greatest("na", "nb") - 1e-9)).select("a", "b"), "close-pairs")
-
-
-def _pair(a: Column, b: Column) -> Column:
-    return F.struct(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"))
-
-
-def _led(postings: DataFrame) -> DataFrame:
-    """(key, node, leader): the postings that more than one node shares, stored, with the member that
-    has the smallest hash. The hash is of the node alone, so the many keys that a group of near copies
-    shares name few leaders."""
-    drawn = F.struct(F.xxhash64("node").alias("drawn"), "node")
-    leaders = store(
-        postings.groupBy("key").agg(
-            F.min(drawn).alias("first"), F.min("node").alias("low"), F.max("node").alias("high"))
-        .filter("low <> high").select("key", F.col("first.node").alias("leader")), "leaders")
-    return store(postings.join(leaders, "key"), "shared-postings")
-
-
-def _met_leaders(led: DataFrame) -> DataFrame:
-    """Distinct pairs of each member of a posting with its leader."""
-    pair = _pair(F.col("node"), F.col("leader"))
-    return led.filter("node <> leader").select(pair.alias("p")).select("p.a", "p.b").distinct()
-
-
-def _met_apart(labelled: DataFrame) -> DataFrame:
-    """Distinct pairs of members of a posting that lie in different components, all of them. Postings
-    within one component are left out before members meet; `labelled` is stored, so the join splits
-    hot keys at run time."""
-    mixed = store(
-        labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-        .filter("low <> high").select("key"), "mixed-keys")
-    apart = store(labelled.join(mixed, "key"), "mixed-postings")
-    one = apart.select("key", F.col("node").alias("a"), F.col("component").alias("ca"))
-    two = apart.select("key", F.col("node").alias("b"), F.col("component").alias("cb"))
-    pair = _pair(F.col("a"), F.col("b"))
-    return one.join(two, "key").filter("ca < cb").select(pair.alias("p")).select("p.a", "p.b").distinct()
-
-
-def similar_texts(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5,
-    similarity: float = 0.8,
-) -> DataFrame:
-    """(id, component_id) of every row whose text has words: the smallest id reachable by links.
-
-    Two texts are linked if the sets of their `size`-word shingles have this Jaccard similarity or more.
-    1024-bit fingerprints of the sets find the candidates: pairs that share a key of KEY_BITS bits and
-    differ in no more bits than SLACK standard deviations above what texts of this
-    similarity do. Their sets are then compared exactly, so nothing below the limit is linked; of pairs
-    at similarity 0.8, 0.85, 0.9 about 96, 99.5, 100 % share a key (1 000 random pairs each).
-
-    First each member of a posting meets the posting's leader, for each of the 168 keys; that joins
-    large groups of near copies with work linear in their size. Then every two members of a posting
-    that are still in different components are compared. So every pair that shares a key is compared
-    unless links have joined it before; nothing is capped. The second step grows with the pairs of
-    texts that share a key and are not near copies, the first links apart.
-
-    Texts without words are left out. Null ids take part unnamed, as in `near_duplicates`. Repeated
-    rows keep their rows.
-    """
-    prints = store(wide_fingerprints(docs, id_column, text_column, size).filter("n > 0"), "wide-fingerprints")
-    nodes = store(
-        prints.groupBy("node").agg(
-            F.min("n").alias("n"), F.min("id").alias("first_id"), F.min("text_key").alias("text_key"),
-            F.first("prints").alias("prints")),
-        "wide-nodes")
-    shared = _led(_wide_postings(nodes))
-
-    def linked(pairs: DataFrame) -> DataFrame:
-        close = _close(pairs, nodes, similarity)
-        sets = _shingle_sets(docs, nodes, close, text_column, size)
-        return store(_exact(close, sets, similarity), "exact-links")
-
-    first = linked(_met_leaders(shared))
-    group = components(first)
-    labelled = store(shared.select("key", "node").join(
-        group.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")), "labelled-postings")
-    second = linked(_met_apart(labelled))
-    group = components(first.union(second))
-    named = store(
-        nodes.select("node", "first_id").join(
-            group.withColumnRenamed("node", "of"), F.col("node") == F.col("of"), "left")
-        .select("node", "first_id", F.coalesce("component", "node").alias("component")), "named")
-    smallest = store(
-        named.groupBy("component").agg(F.min("first_id").alias("component_id")), "smallest")
-    ids = store(named.join(smallest, "component").select("node", "component_id"), "node-ids")
-    return prints.select("id", "node").join(ids, "node").select(
-        F.col("id").alias(id_column), "component_id")
