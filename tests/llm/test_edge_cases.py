@@ -181,7 +181,9 @@ def test_line_dedup_of_the_pipeline_keeps_the_text_of_copies(spark):
 
 def test_quality_edges(spark, docs, none):
     trusted = spark.createDataFrame([(1,), (9,), (9,), (None,)], "doc_id long")
-    rows = quality.apply_rules(docs.withColumn("kept", F.lit("x")).withColumn("weights", F.lit(1)), trusted).collect()
+    rows = quality.apply_rules(docs.withColumn("kept", F.lit("x")).withColumns(
+        {c: F.lit(1) for c in ("weights", "words", "buckets", "row", "_words", "total")}), trusted).collect()
+    assert all(r.words == r.buckets == r.row == r._words == r.total == r.weights == 1 for r in rows)
     assert len(rows) == len(ROWS)
     got = {r.doc_id: r for r in rows}
     assert (got[3].n_words, got[3].base_failed, got[3].kept) == (0, True, False)
@@ -190,6 +192,27 @@ def test_quality_edges(spark, docs, none):
     assert all(r.score == 0 for r in quality.apply_rules(docs, trusted.limit(0)).collect())
 
 
+def test_quality_model_as_array_and_as_table(spark, docs, monkeypatch):
+    trusted = spark.createDataFrame([(1,), (9,)], "doc_id long")
+    array = sorted(map(repr, quality.apply_rules(docs, trusted).collect()))
+    monkeypatch.setattr(quality, "ARRAY_BUCKETS", 1)
+    assert sorted(map(repr, quality.apply_rules(docs, trusted).collect())) == array
+
+
+def test_quality_model_tells_texts_by_whole_words(spark):
+    """Junk made of the endings of trusted words, and a vocabulary that one small table can't hold apart."""
+    rng = random.Random(11)
+    good = [f"{rng.randrange(10 ** 9):09d}ing" for _ in range(20000)]
+    junk = [f"{rng.randrange(10 ** 9):09d}ing" for _ in range(300)]
+    rows = [(i, " ".join(rng.choices(good, k=300))) for i in range(400)]
+    rows += [(1000 + i, " ".join(rng.choices(junk, k=300))) for i in range(40)]
+    trusted = spark.createDataFrame([(i,) for i in range(0, 400, 2)], "doc_id long")
+    got = {r.doc_id: r.kept for r in quality.apply_rules(
+        spark.createDataFrame(rows, "doc_id long, text string"), trusted).collect()}
+    assert all(got[i] for i in range(400)) and not any(got[1000 + i] for i in range(40))
+
+
+
 def test_mixing_meets_its_targets(spark, docs, none):
     targets = {"source": {"a": 0.5, "b": 0.3, mixing.OTHER: 0.2}, "lang": {"en": 0.6, "de": 0.4}}
     rows = [(i, prose(i, 40), lang, source) for i in range(3000)

@@ -33,32 +33,32 @@ def steps(spark, tmp_path_factory):
     return held
 
 
-def ngrams(text, buckets=1 << 14):
-    ends = [xxhash.xxh64_intdigest(w[-3:].encode(), 42) for w in WORDS.findall(text or "")]
+def ngrams(text, buckets):
+    words = [xxhash.xxh64_intdigest(w.encode(), 42) for w in WORDS.findall(text or "")]
     pairs = [xxhash.xxh64_intdigest(struct.pack("<Q", b), xxhash.xxh64_intdigest(struct.pack("<Q", a), 42))
-             for a, b in zip(ends, ends[1:], strict=False)]
-    return [h % buckets for h in ends + pairs]
+             for a, b in zip(words, words[1:], strict=False)]
+    return [("word", h % buckets) for h in words] + [("pair", h % (buckets // 2)) for h in pairs]
 
 
 def test_quality_rules(spark, steps):
     trusted = {r.doc_id for r in spark.read.parquet(f"{SF}/labels.parquet").collect() if r.quality == 1}
     every, good = Counter(), Counter()
+    buckets = 1 << int(math.log2(sum(len(r.text or "") for r in steps[0]) / 192))
     for r in steps[0]:
-        grams = ngrams(r.text)
+        grams = ngrams(r.text, buckets)
         every.update(grams)
         if r.doc_id in trusted:
             good.update(grams)
-    n, k, size = sum(every.values()), sum(good.values()), 1 << 14
+    share = sum(good.values()) / sum(every.values())
     kept = set()
     for r in steps[0]:
-        words, grams = WORDS.findall(r.text or ""), ngrams(r.text)
+        words, grams = WORDS.findall(r.text or ""), ngrams(r.text, buckets)
         at = defaultdict(list)
         for i in range(len(words) - 7):
             at[tuple(words[i:i + 8])].append(i)
         repeated = {i + j for p in at.values() if len(p) > 1 for i in p for j in range(8)}
-        score = sum(math.log((good[g] + 0.5) / (k + 0.5 * size)) - math.log((every[g] + 0.5) / (n + 0.5 * size))
-                    for g in grams) / max(1, len(grams))
-        if len(words) >= 20 and 100 * len(repeated) <= 30 * len(words) and score >= -0.5:
+        score = sum(math.log(good[g] + 1) - math.log(every[g] * share + 1) for g in grams) / max(1, len(grams))
+        if len(words) >= 20 and 100 * len(repeated) <= 30 * len(words) and score >= -0.2:
             kept.add(r.doc_id)
     assert {r.doc_id for r in steps[1]} == kept and 0 < len(kept) < len(steps[0])
 
