@@ -6,13 +6,13 @@ characters. Three tests ask whether it looks like uniform draws from that alphab
 the symbol counts, runs above and below the middle symbol, and serial correlation at lag one. The
 smallest of the three tail probabilities, corrected for taking the smallest of three, is its `p`.
 
-Short tokens give the tests little power, so ordinary strings pass more often. The acceptance level
-is therefore chosen per (encoding, length band) from all candidates of the corpus: random tokens
-have `p` spread evenly, so twice the number above one half estimates how many there are; what lies
-above a level beyond their share is false. The lowest level whose estimated false share stays at
-`false_share` or less is taken. Cells too small for such an estimate are pooled with the nearest length
-bands of their encoding, or take the fixed level 1 / BINS, so that a rare encoding or length does not
-lose a random token for want of company. The histogram behind it has a fixed number of cells.
+A token is random until the battery rejects it, and the rejections are held to a false-discovery rate
+(Benjamini-Hochberg) in each cell of encoding and length band: of the tokens rejected as ordinary, at
+most the share `lost_share` is random. The limit below which `p` rejects never exceeds `lost_share`, so
+a lone random token among any number of ordinary ones is lost with that probability at most, whatever
+else its cell holds; nothing depends on a cell's size. Short tokens give the tests little power, so more ordinary strings of
+20 to 32 characters are listed than of longer ones. The histogram behind the limits has a fixed number
+of cells.
 """
 
 from __future__ import annotations
@@ -47,10 +47,8 @@ ALPHABETS = {
     "base64": UPPER + LOWER + DIGITS + "+/", "base64url": UPPER + LOWER + DIGITS + "-_",
 }
 BANDS = (20, 24, 32, 48, 64, 96, 128, 256)
-BINS = 64
-#: A cell with fewer candidates is pooled with neighbouring lengths; where that is too few, too, the
-#: lowest level holds, which rejects a random token once in BINS times.
-MIN_CELL = 200
+#: Steps in which the limits are chosen.
+BINS = 512
 
 _FOUND = (
     "array<struct<kind:string,start:int,stop:int,encoding:string,band:int,p:double>>")
@@ -153,8 +151,12 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text")
         run, f"id {kind}, found {_FOUND}")
 
 
-def acceptance_levels(scanned: DataFrame, false_share: float = 0.05) -> dict[tuple[str, int], float]:
-    """Lowest accepted `p` per (encoding, length band), from all candidates of the corpus."""
+def acceptance_levels(scanned: DataFrame, lost_share: float = 0.05) -> dict[tuple[str, int], float]:
+    """Lowest accepted `p` per (encoding, length band), from all candidates of the corpus.
+
+    The largest limit t for which t times all tokens of the cell, the number that random ones alone
+    would put below it, is at most `lost_share` of those that are below it.
+    """
     counts = (
         scanned.select(F.explode("found").alias("f")).filter("f.kind = 'random'")
         .groupBy("f.encoding", "f.band",
@@ -164,29 +166,14 @@ def acceptance_levels(scanned: DataFrame, false_share: float = 0.05) -> dict[tup
     table: dict[tuple[str, int], np.ndarray] = {}
     for encoding, band, at, n in counts.collect():
         table.setdefault((encoding, band), np.zeros(BINS))[at] = n
-    levels = {}
-    for key in table:
-        near = sorted((k for k in table if k[0] == key[0]), key=lambda k: abs(BANDS.index(k[1]) - BANDS.index(key[1])))
-        histogram = np.zeros(BINS)
-        for other in near:
-            if histogram.sum() < MIN_CELL:
-                histogram = histogram + table[other]
-        if histogram.sum() < MIN_CELL:
-            levels[key] = 1 / BINS
-            continue
-        above = histogram[::-1].cumsum()[::-1]
-        random_tokens = 2 * above[BINS // 2]
-        for at in range(1, BINS // 2 + 1):
-            share = 1 - at / BINS
-            if above[at] and (above[at] - random_tokens * share) / above[at] <= false_share:
-                levels[key] = at / BINS
-                break
-    return levels
+    limits = np.arange(1, BINS + 1) / BINS
+    return {key: float(limits[limits * held.sum() <= lost_share * held.cumsum()].max(initial=0.0))
+            for key, held in table.items()}
 
 
 def find_secrets(
     docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
-    false_share: float = 0.05,
+    lost_share: float = 0.05,
 ) -> DataFrame:
     """id and `spans`, an array of (kind, start, stop) in code points, by start and then kind.
 
@@ -194,7 +181,7 @@ def find_secrets(
     left behind. Texts are scanned whole, once; what was found is stored and read twice.
     """
     scanned = store(scan(docs, id_column, text_column), "secrets")
-    levels = acceptance_levels(scanned, false_share)
+    levels = acceptance_levels(scanned, lost_share)
     return _accepted(scanned, levels).select(F.col("id").alias(id_column), "spans")
 
 
