@@ -6,6 +6,8 @@ tables grow with the corpus: the characters of all texts decide on the number of
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,8 +20,10 @@ BROADCAST_IDS = 2_000_000
 #: A model of at most this many buckets passes to the tasks as one array (4 bytes each); a larger one
 #: stays a table and is joined with the buckets of each text. Both give the same scores.
 ARRAY_BUCKETS = 1 << 23
-#: Characters of the corpus per bucket of a word; pairs of words have half as many buckets.
+#: Characters of the corpus per bucket of a word, and buckets per square root of the characters, which is
+#: less in a large corpus (a vocabulary grows about so); pairs of words have half as many buckets.
 CHARS_PER_BUCKET = 192
+BUCKETS_PER_ROOT = 16
 MIN_BUCKETS = 1 << 10
 
 
@@ -38,7 +42,8 @@ def _from(array: Column, n: int) -> Column:
 def word_buckets(docs: DataFrame, text_column: str = "text") -> int:
     """Buckets of single words, a power of two that grows with the characters of all texts."""
     chars = docs.agg(F.sum(F.char_length(text_column))).first()[0] or 0
-    return max(MIN_BUCKETS, 1 << max(0, int(chars // CHARS_PER_BUCKET).bit_length() - 1))
+    wanted = min(chars // CHARS_PER_BUCKET, BUCKETS_PER_ROOT * math.isqrt(chars))
+    return max(MIN_BUCKETS, 1 << max(0, wanted.bit_length() - 1))
 
 
 def _buckets(hashes: Column, buckets: int) -> Column:
