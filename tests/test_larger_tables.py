@@ -1,0 +1,59 @@
+"""Steps that grew too fast with the tables: one shuffle for documents, no Arrow stream for each tree."""
+
+from __future__ import annotations
+
+import json
+
+import pyarrow as pa
+
+from querytrail.functions import documents as docs
+from querytrail.operators import trees as tr
+from querytrail.plans import standins
+
+
+def test_documents_are_grouped_where_their_lines_are_ranked(spark, tmp_path):
+    spark.createDataFrame(
+        [(1, 5, 7, 1, "A", "O"), (1, 6, 8, 2, 'q"', "F"), (None, 1, 1, 1, None, "F")],
+        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_returnflag string, l_linestatus string",
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = standins.Tables(spark, str(tmp_path)).tree_documents()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    flags = [r.text for r in tr.flatten(found).filter("token_name = 'FLAG'").collect()]
+    assert sorted(flags) == ["", 'q"']
+
+
+def test_words_become_lists_without_row_by_row_json(spark, tmp_path):
+    texts = [(1, 'a "b\\ \x01'), (2, None), (3, "")]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    found = standins.Tables(spark, str(tmp_path)).token_documents()
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    lists = {r.file: json.loads(r.payload) for r in found.collect()}
+    assert [t["text"] for t in lists["d1"]["tokenStream"]] == ["a", '"b\\', "\x01"]
+    assert lists["d2"] == {} and [t["text"] for t in lists["d3"]["tokenStream"]] == [""]
+
+
+def test_trees_are_cut_out_of_batches(spark, rows):
+    table = spark.createDataFrame(
+        [(f, n, i) for f in ("a", None) for n in (0, None, 2) for i in range(70)], "file string, tree_no int, v int")
+
+    def total(tree: pa.Table) -> pa.Table:
+        return pa.table({"n": [tree.num_rows], "file": tree["file"][:1]})
+
+    found = tr.visit_with(table, total, "file string, n bigint")
+    assert "FlatMapGroupsInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert rows(found) == sorted([("a", 70)] * 3 + [(None, 70)] * 3, key=repr)
+
+
+def test_runs_cross_batches():
+    batches = [pa.RecordBatch.from_pydict({"k": pa.array(k, pa.string())}) for k in ([None, "a"], ["a"], [], ["a", "b"])]
+    assert [t["k"].to_pylist() for t in docs._runs(iter(batches), ["k"])] == [[None], ["a", "a", "a"], ["b"]]
+
+
+def test_combining_with_a_terminal_that_has_children(spark):
+    """The last node can't be told by its own counts then; the result is that of the plain join."""
+    odd = {"nodeType": "Terminal: T", "text": "t", "children": [{"nodeType": "RuleContext: r"}]}
+    frame = spark.createDataFrame([("f", json.dumps([odd, odd]))], "file string, payload string")
+    both = tr.combine_trees(tr.flatten(frame), spark.createDataFrame([("f", 9)], "file string, length int"))
+    assert not tr._plain(tr.flatten(frame))
+    assert [r.closes for r in both.orderBy("node_id").collect()] == [0, 0, 1, 0, 2]
