@@ -285,6 +285,7 @@ def delimited_scan(t):
 @query("sk2_overwrite_table_sink", f"SELECT * FROM ({_DIFF}) d")
 def overwrite_table_sink(t):
     folder = work_folder(t.spark, "report")
-    sinks.write_table(differences(t).limit(0), folder)
-    sinks.write_table(differences(t), folder)
+    found = differences(t)
+    sinks.write_table(found.limit(0), folder)
+    sinks.write_table(found, folder)
     return tables.read_table(t.spark, folder)
