@@ -180,14 +180,18 @@ def failure_report(t):
 SELECT true AS is_txt, CAST(length(string_agg(part, ';' ORDER BY seq)) + 1 AS INT) AS n, count(*) AS parts
 FROM (SELECT l_orderkey // 100 AS hundred, part, l_orderkey * 1000 + stmt_no AS seq FROM {v_parts}) p GROUP BY hundred""")
 def script_scan(t):
-    # Script files from the scripts of 100 orders each: files grow in number, not in size.
-    ordered = F.sort_array(F.collect_list(F.struct("l_orderkey", "stmt_no", "part")))
-    files = t["v_parts"].groupBy(
-        F.floor(F.col("l_orderkey") / 100).alias("hundred")).agg(ordered.alias("p"))
+    # Script files from the scripts of 100 orders each: files grow in number, not in size. Parts are put
+    # together by order, where they were ranked; only those texts go on to their file. Missing parts are left out.
+    parts = F.sort_array(F.collect_list(F.struct("stmt_no", "part")))["part"]
+    some = F.exists("parts", lambda part: part.isNotNull())
+    orders = t["v_parts"].groupBy("l_orderkey").agg(parts.alias("parts")).select(
+        F.floor(F.col("l_orderkey") / 100).alias("hundred"), "l_orderkey",
+        F.when(some, F.array_join("parts", ";")).alias("text"))
+    ordered = F.sort_array(F.collect_list(F.struct("l_orderkey", "text")))["text"]
+    files = orders.repartition(sinks.shuffle_parts(orders), "hundred").groupBy("hundred").agg(
+        F.array_join(ordered, ";").alias("value"))
     folder = work_folder(t.spark, "scripts")
-    named = F.col("hundred").alias("script")
-    files.select(named, F.array_join(F.col("p.part"), ";").alias("value")).write.partitionBy(
-        "script").text(folder)
+    sinks.write_files(files.select("value"), folder, "text")
     return texts.read_scripts(t.spark, f"{folder}/*").select(
         F.col("file").endswith(".txt").alias("is_txt"), F.length("script").alias("n"),
         F.size(F.split("script", ";")).cast("long").alias("parts"))

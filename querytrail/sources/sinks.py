@@ -20,6 +20,12 @@ DELIMITED = {
 }
 
 
+# For many small files: the local file system without checksum files.
+PLAIN_FILES = {
+    "fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true",
+}
+
+
 def append_extracts(
     extract: DataFrame, folder: str, file_format: str = "parquet", mode: str = "append"
 ) -> None:
@@ -38,6 +44,23 @@ def replace_extracts(extract: DataFrame, folder: str) -> None:
     append_extracts(extract, folder, mode="overwrite")
 
 
+def write_files(df: DataFrame, folder: str, file_format: str) -> None:
+    """One file per row, in a sub-folder per task.
+
+    A folder for each file would cost the driver a rename and every reader a listing. The files of a
+    task are moved together and listed together, so folders grow with the tasks only. In a folder of a
+    local file system no checksum files are written: three of the four processes that Hadoop starts to set
+    the rights of a file are for its checksum. Other file systems don't read these options.
+    """
+    df.withColumn("files_of", F.spark_partition_id()).write.options(**PLAIN_FILES).option(
+        "maxRecordsPerFile", 1).partitionBy("files_of").format(file_format).save(folder)
+
+
+def shuffle_parts(df: DataFrame) -> int:
+    """Number of partitions of a shuffle, to be named where small rows make much work: files to write."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def write_table(df: DataFrame, folder: str) -> None:
     """Delimited text with header; an empty result still leaves a file with the header."""
     df.write.mode("overwrite").options(**DELIMITED).csv(folder)
