@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 from querytrail.plans.registry import query
 from querytrail.plans.standins import Tables
 from querytrail.session import work_folder
+from querytrail.sources import sinks
 from querytrail.streaming import landing
 
 _DOCS = """
@@ -52,10 +53,10 @@ def ingest(t: Tables):
 
 def _drop_files(t: Tables, folder: str) -> None:
     """One JSON file per conversation, with its turns as the list `data`."""
-    turn = F.struct("turn", "role", "text")
-    t["conversations"].groupBy("conv_id").agg(
-        F.array_sort(F.collect_list(turn)).alias("data")
-    ).write.partitionBy("conv_id").json(folder)
+    turns = t["conversations"]
+    data = F.array_sort(F.collect_list(F.struct("turn", "role", "text")))
+    files = turns.repartition(sinks.shuffle_parts(turns), "conv_id").groupBy("conv_id").agg(data.alias("data"))
+    sinks.write_files(files.select("data"), folder, "json")
 
 
 @query("st1_landing_folder_stream", """

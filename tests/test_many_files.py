@@ -1,10 +1,11 @@
-"""Files that grow in number: a folder per task, not per file."""
+"""Files that grow in number: a folder per task, not per file, and lists of paths dealt to few tasks."""
 
 from __future__ import annotations
 
+import json
 from pathlib import Path
 
-from querytrail.plans import script_queries, standins
+from querytrail.plans import script_queries, standins, stream_queries
 from querytrail.sources import sinks
 
 LINES = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_returnflag string"
@@ -15,6 +16,19 @@ def found(folder) -> tuple[set[str], list[Path]]:
     return {p.parent.name for p in files}, files
 
 
+def test_conversations_land_in_a_folder_per_task(spark, tmp_path):
+    turns = [(i, k, "user", f"{i}-{k}") for i in [*range(40), None] for k in (1, 0)]
+    spark.createDataFrame(turns, "conv_id long, turn long, role string, text string").write.parquet(
+        f"{tmp_path}/conversations.parquet")
+    tables = standins.Tables(spark, str(tmp_path))
+    stream_queries._drop_files(tables, f"{tmp_path}/in")
+    folders, files = found(tmp_path / "in")
+    assert len(files) == 41 and len(folders) <= 4
+    texts = sorted([t["text"] for t in json.loads(p.read_text())["data"]] for p in files)
+    assert texts == sorted([f"{i}-0", f"{i}-1"] for i in [*range(40), None])
+    assert stream_queries.landing_folder_stream(tables).first() == (82, 41)
+
+
 def test_scripts_are_written_in_a_folder_per_task(spark, tmp_path):
     # parts that are blank, missing throughout an order, and of no order
     lines = [(k * 100 + j, 5, 7, 1, q, f) for k in range(30) for j, q, f in ((0, 9.0, "A"), (1, 1.0, "N"), (2, 9.0, "R"))]
@@ -49,3 +63,18 @@ def test_small_files_need_no_checksum_files(spark, tmp_path):
     _, files = found(tmp_path / "out")
     assert sorted(p.read_bytes().decode() for p in files) == ["\n", "\n", "a;b\n", "ü\n\n"]
     assert not list((tmp_path / "out").rglob(".part*.crc"))
+
+
+def test_paths_are_listed_by_few_tasks(spark, tmp_path):
+    for i in range(400):
+        (tmp_path / f"{i}.txt").write_text("x")
+    standins.Tables(spark, str(tmp_path))
+    spark.sparkContext.setJobGroup("listing", "")
+    try:
+        frame = spark.read.text([f"{tmp_path}/{i}.txt" for i in range(400)])
+        tracker = spark.sparkContext.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup("listing") for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert stages and max(tracker.getStageInfo(s).numTasks for s in stages) <= 256
+    assert frame.count() == 400
