@@ -57,3 +57,14 @@ def test_combining_with_a_terminal_that_has_children(spark):
     both = tr.combine_trees(tr.flatten(frame), spark.createDataFrame([("f", 9)], "file string, length int"))
     assert not tr._plain(tr.flatten(frame))
     assert [r.closes for r in both.orderBy("node_id").collect()] == [0, 0, 1, 0, 2]
+
+
+def test_nodes_are_read_with_the_wanted_columns_only(spark, rows):
+    tree = {"nodeType": "RuleContext: r", "children": [{"nodeType": "Terminal: T", "text": "t"}]}
+    frame = spark.createDataFrame(
+        [("f", json.dumps([tree, tree])), ("bad", "{")], "file string, payload string")
+    few = tr.flatten(frame, tr.TREE)
+    assert few.columns == tr.TREE and rows(few) == [("f", 0), ("f", 0), ("f", 1), ("f", 1)]
+    labels = ["file", "node_type", "kind", "rule_name"]
+    assert rows(tr.flatten(frame, ["file", "node_type"]).select(labels)) == rows(tr.flatten(frame).select(labels))
+    assert tr.rejected_documents(tr.read_nodes(frame, tr.TREE)).first().file == "bad"
