@@ -7,6 +7,7 @@ import json
 import pyarrow as pa
 
 from querytrail.functions import documents as docs
+from querytrail.operators import tokens as tk
 from querytrail.operators import trees as tr
 from querytrail.plans import standins
 
@@ -68,3 +69,12 @@ def test_nodes_are_read_with_the_wanted_columns_only(spark, rows):
     labels = ["file", "node_type", "kind", "rule_name"]
     assert rows(tr.flatten(frame, ["file", "node_type"]).select(labels)) == rows(tr.flatten(frame).select(labels))
     assert tr.rejected_documents(tr.read_nodes(frame, tr.TREE)).first().file == "bad"
+
+
+def test_token_lists_are_parsed_once_for_the_detailed_form(spark):
+    tree = {"nodeType": "RuleContext: r", "startIndex": 0, "stopIndex": 0}
+    document = {"tokenStream": [{"index": 0, "type": 3, "text": "t", "startIndex": 0, "stopIndex": 0}], "parseTree": tree}
+    frame = spark.createDataFrame([("f", json.dumps(document))], "file string, payload string")
+    full = tr.detailed(tr.flatten(frame, [*tr.READ_OF_NODES, "node_type"]), tk.read_tokens(frame), ["r"])
+    assert "from_json" not in full._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.start_token.text, r.stop_token.text, r.rule_index) for r in full.collect()] == [("t", "t", 0)]
