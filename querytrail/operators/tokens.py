@@ -7,33 +7,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from querytrail.functions.ordered import BITS, look_around
-from querytrail.schemas import TOKEN
+from querytrail.schemas import END_OF_FILE, TOKEN, TOKEN_DEFAULTS
 from querytrail.sources.texts import DEEP_JSON
 
-END_OF_FILE = -1
 RANGE_BITS = 10
 
 
-def read_tokens(documents: DataFrame) -> DataFrame:
+def read_tokens(documents: DataFrame, nested: bool = False) -> DataFrame:
     """One row per token with its place `pos` in the list; missing fields get their defaults.
 
-    Read by Spark's JSON reader: the deep tree beside the list is skipped, not built.
+    Read by Spark's JSON reader: the deep tree beside the list is skipped, not built. `nested` gives the
+    documents with their lists as read, in a column `tokens`, for a step that takes both of a document
+    where it is.
     """
     layout = T.StructType([T.StructField("tokenStream", T.ArrayType(TOKEN))])
-    listed = documents.select(
-        "file", F.from_json("payload", layout, DEEP_JSON)["tokenStream"].alias("t"))
+    read = F.from_json("payload", layout, DEEP_JSON)["tokenStream"]
+    if nested:
+        return documents.select("file", "payload", read.alias("tokens"))
+    listed = documents.select("file", read.alias("t"))
     # the outer form: a plain explode makes Spark parse each document once more for a filter
     rows = listed.select("file", F.posexplode_outer("t").alias("pos", "t")).filter("pos is not null")
 
-    def field(name: str, default) -> Column:
-        return F.coalesce(F.col(f"t.{name}"), F.lit(default))
+    def field(name: str) -> Column:
+        return F.coalesce(F.col(f"t.{name}"), F.lit(TOKEN_DEFAULTS[name]))
 
     return rows.select(
-        "file", "pos", field("index", 0).alias("index"), field("type", -1).alias("type"),
-        field("typeName", "").alias("type_name"), field("text", "").alias("text"),
-        field("startIndex", 0).alias("start_index"), field("stopIndex", 0).alias("stop_index"),
-        field("line", 1).alias("line"), field("column", 0).alias("column"),
-        field("channel", 0).alias("channel"),
+        "file", "pos", field("index").alias("index"), field("type").alias("type"),
+        field("typeName").alias("type_name"), field("text").alias("text"),
+        field("startIndex").alias("start_index"), field("stopIndex").alias("stop_index"),
+        field("line").alias("line"), field("column").alias("column"),
+        field("channel").alias("channel"),
     )
 
 
