@@ -11,6 +11,11 @@ from querytrail.schemas import END_OF_FILE, TOKEN, TOKEN_DEFAULTS
 from querytrail.sources.texts import DEEP_JSON
 
 RANGE_BITS = 10
+# Of so many blocks of ranges the planner need not be told: beyond that they are shuffled, whatever their files' size.
+BROADCAST_BLOCKS = 200_000
+# The filter of blocks: this many bits a block or up to twice as many, in parts of 2^15 bits, three bits each; 64 MB at most.
+BITS_A_BLOCK, PART_BITS, MARKS, MOST_PARTS = 16, 15, 3, 1 << 14
+NEAR = "_near"
 
 
 def read_tokens(documents: DataFrame, nested: bool = False) -> DataFrame:
@@ -84,21 +89,95 @@ def range_text(tokens: DataFrame, start: int | None = None, stop: int | None = N
 
 def inside(tokens: DataFrame, start: int, stop: int) -> DataFrame:
     """Tokens wholly inside one character range."""
-    return tokens.filter((F.col("start_index") >= start) & (F.col("stop_index") <= stop))
+    return tokens.filter(is_inside(start, stop))
+
+
+def is_inside(start: int, stop: int) -> Column:
+    return (F.col("start_index") >= start) & (F.col("stop_index") <= stop)
+
+
+def _spans(ranges: DataFrame, bits: int) -> tuple[DataFrame, Column, Column]:
+    """Ranges that can hold a token, with their first and last block.
+
+    The block after the range covers an empty token, which stops before it starts.
+    """
+    first = F.shiftright(F.col("range_start"), bits)
+    last = F.shiftright(F.col("range_stop"), bits) + 1
+    return ranges.filter("range_stop + 1 >= range_start"), first, last
+
+
+def _block(bits: int) -> Column:
+    return F.shiftright(F.col("start_index"), bits)
+
+
+def _blocks(ranges: DataFrame, bits: int) -> DataFrame:
+    spans, first, last = _spans(ranges, bits)
+    return spans.withColumn("_block", F.explode(F.sequence(first, last)))
+
+
+def _count_blocks(ranges: DataFrame, bits: int) -> int:
+    spans, first, last = _spans(ranges, bits)
+    return spans.agg(F.sum((last - first + 1).cast("long")).alias("n")).first().n or 0
+
+
+def _marks(parts: int) -> tuple[Column, list[Column]]:
+    """Part of the filter and places in it that a hash `_hash` stands for."""
+    places = [F.shiftrightunsigned("_hash", PART_BITS * i).bitwiseAND((1 << PART_BITS) - 1) for i in range(MARKS)]
+    return F.shiftrightunsigned("_hash", PART_BITS * MARKS).bitwiseAND(parts - 1), places
+
+
+def _hashed() -> Column:
+    return F.xxhash64("file", F.col("_block").cast("long"))
+
+
+def mark_near(tokens: DataFrame, ranges: DataFrame, bits: int = RANGE_BITS) -> DataFrame:
+    """Adds `_near`: false only for tokens of which no range touches the block.
+
+    The blocks of all ranges become a Bloom filter, of which every task gets a copy, so tokens far from
+    all ranges need not be stored or shuffled. Some of one in a hundred of these pass by chance, more
+    where the blocks are more than 32 million.
+    """
+    parts = 1
+    while parts < MOST_PARTS and parts << PART_BITS < BITS_A_BLOCK * _count_blocks(ranges, bits):
+        parts *= 2
+    part, places = _marks(parts)
+    # dealt by part before, bit strings are made in one piece
+    dealt = _blocks(ranges, bits).select(_hashed().alias("_hash")).withColumn("_part", part).repartition("_part")
+    strings = dealt.select("_part", F.explode(F.array(*places)).alias("_place")).groupBy("_part").agg(
+        F.bitmap_construct_agg("_place").alias("_bytes"))
+
+    def word(i: Column) -> Column:
+        return F.conv(F.hex(F.substring("_bytes", i * 8 + 1, F.lit(8))), 16, -10).cast("long")
+
+    words = strings.select("_part", F.transform(F.sequence(F.lit(0), F.lit((1 << PART_BITS) // 64 - 1)), word).alias("_words"))
+
+    def marked(place: Column) -> Column:
+        # the first byte of a word is its highest, the first bit of a byte its lowest
+        at = place.bitwiseAND(63).bitwiseXOR(F.lit(56))
+        return F.getbit(F.get("_words", F.shiftright(place, 6).cast("int")), at.cast("int")) == 1
+
+    near = F.col("file").isNotNull()
+    for place in places:
+        near = near & marked(place)
+    return (
+        tokens.withColumn("_block", _block(bits)).withColumn("_hash", _hashed()).withColumn("_part", part)
+        .join(F.broadcast(words), "_part", "left")
+        .select(*tokens.columns, F.coalesce(near, F.lit(False)).alias(NEAR))
+    )
 
 
 def inside_ranges(tokens: DataFrame, ranges: DataFrame, bits: int = RANGE_BITS) -> DataFrame:
     """Tokens wholly inside ranges (file, range_start, range_stop), one row per hit.
 
     Both sides meet on (file, block of the start offset), so a long file is spread over its
-    blocks. The block after the range covers an empty token, which stops before it starts.
+    blocks. Only tokens near a range are shuffled; those that `mark_near` has marked with these ranges
+    and blocks aren't marked again. The ranges are read several times: pass stored ones.
     """
-    first = F.shiftright(F.col("range_start"), bits)
-    last = F.shiftright(F.col("range_stop"), bits) + 1
-    blocks = ranges.filter("range_stop + 1 >= range_start").withColumn(
-        "_block", F.explode(F.sequence(first, last)))
-    placed = tokens.withColumn("_block", F.shiftright(F.col("start_index"), bits))
-    return placed.join(blocks, ["file", "_block"]).filter(
+    marked = tokens if NEAR in tokens.columns else mark_near(tokens, ranges, bits)
+    placed = marked.filter(NEAR).drop(NEAR).withColumn("_block", _block(bits))
+    blocks = _blocks(ranges, bits)
+    few = _count_blocks(ranges, bits) <= BROADCAST_BLOCKS
+    return placed.join(F.broadcast(blocks) if few else blocks.hint("merge"), ["file", "_block"]).filter(
         "start_index >= range_start and stop_index <= range_stop").drop("_block")
 
 
