@@ -6,6 +6,7 @@ import json
 import os
 import random
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from querytrail.functions import documents as docs
@@ -108,3 +109,23 @@ def test_texts_of_a_script_are_neither_sorted_nor_aggregated(spark, tmp_path):
     texts = tr.flatten(found).filter("token_name = 'PART'").groupBy("file").agg(
         F.sort_array(F.collect_list(F.struct("tree_no", "node_id", "text"))).alias("t")).select("file", "t.text")
     assert {r.file: r.text for r in texts.collect()} == {f: ["9", "8", "7", "6"] for f in ("s1.txt", "s2.txt", "s3.txt", None)}
+
+
+def test_lines_are_joined_as_they_pass():
+    """A script's lines may cross batches; missing texts are left out; each row is read once."""
+    lines = [(None, 1, "n", "a"), (None, 2, "n", None), (3, 2, "x", "c"), (3, 1, "x", "b"), (3, 3, "x", "d"), (5, 1, "y", None)]
+    table = pa.table(dict(zip(("key", "n", "file", "text"), map(list, zip(*lines, strict=True)), strict=True)))
+    join = docs.joined_texts("key", "n", ["file"], ["text"])
+    for size in (1, 2, 3, 6):
+        batches = [pa.RecordBatch.from_pylist([], schema=table.schema), *table.to_batches(max_chunksize=size)]
+        assert [tuple(r.values()) for b in join(iter(batches)) for r in b.to_pylist()] == [
+            ("n", "a", 2, 2), ("x", "b,c,d", 3, 3), ("y", "", 1, 1)]
+
+
+def test_one_script_with_many_lines(spark, tmp_path):
+    """Its lines are written once, not once for each line: 40 000 lines of 300 characters."""
+    spark.range(40_000).selectExpr(
+        "4L l_orderkey", "id l_partkey", "1L l_suppkey", "cast(id % 7 as int) l_linenumber", "'A' l_returnflag",
+        "'F' l_linestatus").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = standins.Tables(spark, str(tmp_path)).tree_documents().collect()
+    assert len(found) == 1 and len(json.loads(found[0].payload)["children"]) == 40_000
